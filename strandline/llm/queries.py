@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import sharding, simhash
+from strandline.llm import bpe, sharding, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_feistel": sharding.op2_feistel,
+        "op6_bpe": bpe.op6_bpe,
         "op9_simhash": simhash.op9_simhash,
     }
 
