@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, packing, sharding, simhash
+from strandline.llm import bpe, packing, rules, sharding, simhash
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_feistel": sharding.op2_feistel,
         "op3_packing": packing.op3_packing,
+        "op5_rules": rules.op5_rules,
         "op6_bpe": bpe.op6_bpe,
         "op9_simhash": simhash.op9_simhash,
     }
