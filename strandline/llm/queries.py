@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, packing, rules, sharding, simhash
+from strandline.llm import bpe, packing, rules, sharding, simhash, tiff
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_tiff": tiff.op1_tiff,
         "op2_feistel": sharding.op2_feistel,
         "op3_packing": packing.op3_packing,
         "op5_rules": rules.op5_rules,
