@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, langid, mil, packing, rules, sharding, simhash, tiff
+from strandline.llm import bpe, html, langid, mil, packing, rules, sharding, simhash, tiff
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,6 +17,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_rules": rules.op5_rules,
         "op6_bpe": bpe.op6_bpe,
         "op7_mil": mil.op7_mil,
+        "op8_html": html.op8_html,
         "op9_simhash": simhash.op9_simhash,
         "op10_langid": langid.op10_langid,
     }
