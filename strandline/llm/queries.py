@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import bpe, html, langid, mil, packing, rules, sharding, simhash, tiff
+from strandline.llm import bpe, html, langid, mil, packing, rules, sharding, simhash, tiff, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_tiff": tiff.op1_tiff,
         "op2_feistel": sharding.op2_feistel,
         "op3_packing": packing.op3_packing,
+        "op4_warc": warc.op4_warc,
         "op5_rules": rules.op5_rules,
         "op6_bpe": bpe.op6_bpe,
         "op7_mil": mil.op7_mil,
