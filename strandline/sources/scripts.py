@@ -21,7 +21,7 @@ def read_scripts(spark: SparkSession, folder: str | None = None, single: str | N
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "false")
     found = reader.load(single) if single else reader.option("pathGlobFilter", "*.[sS][hH]").load(folder)
     name = F.element_at(F.split("path", "/"), -1)
-    out = found.select(name.alias("script_name"), F.expr("decode(content, 'UTF-8')").alias("text"))
+    out = found.select(name.alias("script_name"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
     if prefix:
         out = out.filter(F.col("script_name").startswith(prefix))
     return out.filter(F.col("script_name").isin(list(files))) if files is not None else out

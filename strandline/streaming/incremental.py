@@ -56,7 +56,7 @@ def parse_pending(scripts: DataFrame, checkpoint: str, **options) -> DataFrame:
 def parse_stream(spark: SparkSession, folder: str, out: str, checkpoint: str, **options) -> None:
     """Parse the scripts that are new in ``folder`` since the last call, into ``out``; what is done is remembered by the stream's checkpoint."""
     stream = spark.readStream.format("binaryFile").schema("path string, modificationTime timestamp, length long, content binary").option("pathGlobFilter", "*.[sS][hH]").load(folder)
-    scripts = stream.select(F.element_at(F.split("path", "/"), -1).alias("script_name"), F.expr("decode(content, 'UTF-8')").alias("text"))
+    scripts = stream.select(F.element_at(F.split("path", "/"), -1).alias("script_name"), F.make_valid_utf8(F.col("content").cast("string")).alias("text"))
 
     def each(batch: DataFrame, number: int) -> None:
         parse(batch, **options).withColumn("batch", F.lit(number)).write.mode("append").parquet(out)
