@@ -1,44 +1,5 @@
 """Helpers shared by the operators of this subpackage."""
 
-from __future__ import annotations
+from strandline.storage import drop_path, fresh_path, shared_dir, table, written
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One of the input tables, by any path Spark can read."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, or a new local one where it is unset."""
-    sc = spark.sparkContext
-    held = spark.conf.get("spark.checkpoint.dir", None)
-    if held is None:
-        held = sc.getCheckpointDir()
-    if held is None:
-        held = "file://" + tempfile.mkdtemp(prefix="strandline-")
-        sc.setCheckpointDir(held)
-    return held.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, kind: str) -> str:
-    return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, kind: str) -> DataFrame:
-    """``df`` as a table in the shared folder: its lineage ends here, and a lost executor loses none of it."""
-    spark = df.sparkSession
-    path = fresh_path(spark, kind)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder through Hadoop's file system, whatever store it lies in."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+__all__ = ["drop_path", "fresh_path", "shared_dir", "table", "written"]

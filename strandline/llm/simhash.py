@@ -18,7 +18,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandline.llm.common import drop_path, fresh_path, table, written
@@ -158,7 +158,7 @@ def links(fps: DataFrame, radius: int = 3, blocks: int = 5, tile: int = 1024) ->
 
 
 def contract(edges: DataFrame) -> DataFrame:
-    """Columns node, root: each end of a link and its component's smallest end.
+    """Columns node, root: each end of a link (of any one type) and its component's smallest end.
 
     Large stars, then small stars, until nothing changes; every round is a written table, and the one before it goes.
     """
@@ -177,7 +177,7 @@ def contract(edges: DataFrame) -> DataFrame:
 
     def put(e: DataFrame) -> tuple[DataFrame, str]:
         e.write.parquet(path := fresh_path(spark, "simhash-stars"))
-        return spark.read.schema("a long, b long").parquet(path), path
+        return spark.read.schema(edges.select("a", "b").schema).parquet(path), path
 
     now, path = put(edges.filter("a <> b").select("a", "b"))
     was = None
@@ -210,26 +210,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.join(components(rows, id_col, radius), "fp").select(id_col, "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
-    """The rows of ``docs`` less all but one of each component: that with the smallest id (nulls last).
-
-    Of rows equal in every column one stays as well.
-    """
-    mark = F.xxhash64(*docs.columns)
-    rows = written(fingerprints(docs, text_col, {"doc": F.col(id_col), "mark": mark}, words), "simhash-rows")
-    classed = rows.join(components(rows, "doc", radius), "fp")
-    best = classed.groupBy(F.when(F.col("component_id").isNotNull(), F.lit(0)).otherwise(F.col("fp")).alias("lone"), "component_id").agg(
-        F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "mark")).alias("kept")
-    )
-    kept = written(best.select("kept.doc", "kept.mark").distinct(), "simhash-kept")
-    names = [f"c{i}" for i in range(len(docs.columns))]
-    own = docs.select("*", mark.alias("row mark")).toDF(*names, "mark")
-    doc = F.col(f"o.{names[docs.columns.index(id_col)]}")
-    met = own.alias("o").join(kept.alias("k"), (F.col("o.mark") == F.col("k.mark")) & doc.eqNullSafe(F.col("k.doc")), "left_semi")
-    first = Window.partitionBy("mark", names[docs.columns.index(id_col)]).orderBy("mark")
-    return met.withColumn("copy", F.row_number().over(first)).filter("copy = 1").select(*names).toDF(*docs.columns)
-
-
 def op9_simhash(spark, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
