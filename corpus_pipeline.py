@@ -11,8 +11,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from strandline.llm import langid, packing, rules, simhash
-from strandline.llm.common import table, written
+from strandline.llm import langid, packing, rules, similar
+from strandline.storage import table, written
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,8 +26,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; shingles of five words, fingerprints that differ in 3 bits at most."""
-    return simhash.keep_one(docs, words=5)
+    """The document with the smallest id of each group; a similarity of 0.8 or more of shingles of five words."""
+    return similar.keep_one(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
