@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import table
+from strandline.llm.common import slices, table
 
 #: Stretches in either half of a worker's memo.
 MEMO = 500_000
@@ -199,7 +199,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
     def run(batches):
         own = codec(path, pattern)
-        for b in batches:
+        for b in slices(batches):
             packed = [own.encode_packed(t) for t in b.column("body").to_pylist()]
             flat = np.frombuffer(b"".join(packed), dtype="<u4").astype(np.int32)
             ends = np.cumsum([0, *(len(p) // 4 for p in packed)], dtype=np.int32)
@@ -215,7 +215,7 @@ def decode(tokens: DataFrame, path: str, pattern: str, id_col: str = "doc_id", i
 
     def run(batches):
         own = codec(path, pattern)
-        for b in batches:
+        for b in slices(batches):
             lists = b.column("ids")
             data = [own.decode(x or ()) for x in lists.to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(data, pa.binary())], ["id", "data"])
@@ -231,17 +231,14 @@ def digests(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", te
     def run(batches):
         own = codec(path, pattern)
         word = np.array([str(i) for i in range(max(own.token) + 1)], dtype=object)
-        for b in batches:
-            for part in range(0, b.num_rows, 256):
-                some = b.slice(part, 256)
-                packed = [own.encode_packed(t) for t in some.column("body").to_pylist()]
-                ids = np.frombuffer(b"".join(packed), dtype="<u4")
-                ends = np.cumsum([len(p) // 4 for p in packed])
-                said = word[ids].tolist()
-                ids_sha = [hashlib.sha256(" ".join(said[a:z]).encode()).hexdigest() for a, z in zip([0, *ends[:-1]], ends, strict=True)]
-                data_sha = [hashlib.sha256(d).hexdigest() for d in own.decode_many(ids, ends)]
-                n = np.diff(ends, prepend=0)
-                yield pa.RecordBatch.from_arrays([some.column("id"), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(data_sha, pa.string())], names)
+        for b in slices(batches, 256):
+            packed = [own.encode_packed(t) for t in b.column("body").to_pylist()]
+            ids = np.frombuffer(b"".join(packed), dtype="<u4")
+            ends = np.cumsum([len(p) // 4 for p in packed])
+            said = word[ids].tolist()
+            ids_sha = [hashlib.sha256(" ".join(said[a:z]).encode()).hexdigest() for a, z in zip([0, *ends[:-1]], ends, strict=True)]
+            data_sha = [hashlib.sha256(d).hexdigest() for d in own.decode_many(ids, ends)]
+            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(np.diff(ends, prepend=0), pa.int64()), pa.array(ids_sha, pa.string()), pa.array(data_sha, pa.string())], names)
 
     schema = rows.select("id", F.lit(0).cast("long").alias("n_tokens"), F.lit("").alias("ids_sha256"), F.lit("").alias("decoded_sha256")).schema
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)

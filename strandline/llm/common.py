@@ -1,5 +1,18 @@
 """Helpers shared by the operators of this subpackage."""
 
+from __future__ import annotations
+
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
+
 from strandline.storage import drop_path, fresh_path, shared_dir, table, written
 
-__all__ = ["drop_path", "fresh_path", "shared_dir", "table", "written"]
+__all__ = ["drop_path", "fresh_path", "shared_dir", "slices", "table", "written"]
+
+
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, so that what Python holds of them at a time stays small."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import table
+from strandline.llm.common import slices, table
 from strandline.llm.trees import Boosted
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
@@ -438,11 +438,9 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html"
     names = [f.name for f in schema]
 
     def run(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                some = b.slice(at, 256)
-                texts = extract(some.column(n).to_pylist(), model)
-                yield pa.RecordBatch.from_arrays([*(some.column(i) for i in range(n)), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names)
+        for some in slices(batches, 256):
+            texts = extract(some.column(n).to_pylist(), model)
+            yield pa.RecordBatch.from_arrays([*(some.column(i) for i in range(n)), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names)
 
     return rows.mapInArrow(run, schema)
 

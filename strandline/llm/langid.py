@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import table
+from strandline.llm.common import slices, table
 from strandline.llm.nets import Adam, bounded, remainder
 
 WINDOW, WIDTHS, FILTERS, EMBEDDING = 256, (2, 3, 4), (8, 12, 12), 8
@@ -173,7 +173,7 @@ def identify(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id"
     schema = rows.select("id", "held_out", F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             languages, scores = predict(b.column("body").to_pylist(), net) if net else ([UNKNOWN] * b.num_rows, np.zeros(b.num_rows))
             yield pa.RecordBatch.from_arrays([b.column("id"), b.column("held_out"), pa.array(languages, pa.string()), pa.array(scores)], ["id", "held_out", "lang_pred", "score"])
 
@@ -186,7 +186,7 @@ def keep(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id", te
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             languages, scores = predict(b.column(at).to_pylist(), net) if net else ([UNKNOWN] * b.num_rows, np.zeros(b.num_rows))
             yield b.filter(pa.array([x != UNKNOWN and s >= least for x, s in zip(languages, scores, strict=True)], pa.bool_()))
 

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import table
+from strandline.llm.common import slices, table
 
 CAPACITY = 2048
 PER_BLOCK = 50_000
@@ -37,7 +37,7 @@ class Tokenizer:
     file, whole texts are encoded.
     """
 
-    def __init__(self, path: str, memo: int = 500_000):
+    def __init__(self, path: str, memo: int = 250_000):
         import json
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism
@@ -102,26 +102,24 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = 0, i
 
     def run(batches):
         own = tokenizer(path)
-        for b in batches:
-            for at in range(0, b.num_rows, 512):
-                some = b.slice(at, 512)
-                take, piece, start, length, crc, ids = [], [], [], [], [], []
-                for k, packed in enumerate(own.encode(some.column("body").to_pylist())):
-                    packed += stop
-                    n = len(packed) // 4
-                    count = -(-n // capacity)
-                    edges = [0, *range(n - (count - 1) * capacity, n + 1, capacity)]
-                    for p, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
-                        data = packed[4 * lo : 4 * hi]
-                        take.append(k)
-                        piece.append(p)
-                        start.append(lo)
-                        length.append(hi - lo)
-                        crc.append(zlib.crc32(data))
-                        if tokens:
-                            ids.append(np.frombuffer(data, dtype="<u4").astype(np.int32))
-                cols = [some.column("id").take(pa.array(take, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array(ids, pa.list_(pa.int32()))] * tokens, ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * tokens)
+        for some in slices(batches):
+            take, piece, start, length, crc, ids = [], [], [], [], [], []
+            for k, packed in enumerate(own.encode(some.column("body").to_pylist())):
+                packed += stop
+                n = len(packed) // 4
+                count = -(-n // capacity)
+                edges = [0, *range(n - (count - 1) * capacity, n + 1, capacity)]
+                for p, (lo, hi) in enumerate(zip(edges, edges[1:], strict=False)):
+                    data = packed[4 * lo : 4 * hi]
+                    take.append(k)
+                    piece.append(p)
+                    start.append(lo)
+                    length.append(hi - lo)
+                    crc.append(zlib.crc32(data))
+                    if tokens:
+                        ids.append(np.frombuffer(data, dtype="<u4").astype(np.int32))
+            cols = [some.column("id").take(pa.array(take, pa.int64())), pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, length, crc))]
+            yield pa.RecordBatch.from_arrays(cols + [pa.array(ids, pa.list_(pa.int32()))] * tokens, ["id", "piece", "start", "length", "ids_crc32"] + ["ids"] * tokens)
 
     schema = rows.select("id", F.lit(0).alias("piece"), *(F.lit(0).cast("long").alias(c) for c in ("start", "length", "ids_crc32")), *([F.array(F.lit(0)).alias("ids")] * tokens)).schema
     return rows.mapInArrow(run, schema)

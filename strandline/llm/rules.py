@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import table
+from strandline.llm.common import slices, table
 
 GOOD, BAD, ABSTAIN = 1, 0, 2
 UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -165,7 +165,7 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
 
     def run(batches):
         held: Counter[int] = Counter()
-        for b in batches:
+        for b in slices(batches):
             held.update(pattern(counts(t)) for t in b.column("body").to_pylist())
         yield pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(list(held.values()), pa.int64())], ["code", "n"])
 
@@ -195,7 +195,7 @@ def score(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", t
     names = [f.name for f in schema]
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             c, failed, good, kept = _verdicts(b.column("body").to_pylist(), model, least)
             cols = [pa.array([getattr(x, k) for x in c], pa.int64()) for k in BASE]
             yield pa.RecordBatch.from_arrays([b.column("id"), *cols, pa.array(failed), pa.array(good), pa.array(kept)], names)
@@ -209,7 +209,7 @@ def keep(docs: DataFrame, model: Model | None = None, text_col: str = "text", le
     at = docs.columns.index(text_col)
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             yield b.filter(pa.array(_verdicts([t or "" for t in b.column(at).to_pylist()], model, least)[3]))
 
     return docs.mapInArrow(run, docs.schema)

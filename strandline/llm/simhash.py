@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import drop_path, fresh_path, table, written
+from strandline.llm.common import drop_path, fresh_path, slices, table, written
 
 SEED = 42
 #: Shingles whose bits are counted at a time.
@@ -50,7 +50,7 @@ def fingerprints(docs: DataFrame, text_col: str, keep: dict[str, Column], words:
     schema = rows.drop("body").withColumn("fp", F.lit(0).cast("long")).schema
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             fp = np.fromiter((fingerprint(t, words) for t in b.column("body").to_pylist()), dtype=np.uint64, count=b.num_rows)
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(fp.view(np.int64))], [*names, "fp"])
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandline.llm.common import written
+from strandline.llm.common import slices, written
 from strandline.llm.simhash import CHUNK, SEED, contract
 
 WORDS64 = 4
@@ -112,7 +112,7 @@ def signatures(docs: DataFrame, text_col: str, words: int) -> DataFrame:
     bodies = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("body"))
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             h = [shingles(t.encode(), words) for t in b.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([len(x) for x in h], pa.int64()), pa.array([signature(x).tobytes() for x in h], pa.binary())], ["key", "size", "sig"])
 
@@ -180,7 +180,7 @@ def proved(links: DataFrame, docs: DataFrame, text_col: str, words: int, similar
     pairs = links.join(texts.select(F.col("key").alias("a"), F.col("body").alias("body_a")), "a").join(texts.select(F.col("key").alias("b"), F.col("body").alias("body_b")), "b")
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             good = []
             for x, y in zip(b.column("body_a").to_pylist(), b.column("body_b").to_pylist(), strict=True):
                 p, q = shingles(x.encode(), words), shingles(y.encode(), words)

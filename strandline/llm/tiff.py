@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import table
+from strandline.llm.common import slices, table
 
 NONE, LZW, DEFLATE, PACKBITS = 1, 5, 8, 32773
 #: Fixed by the format: tags by number, and bytes of each field type.
@@ -312,26 +312,24 @@ def read_pages(media: DataFrame, media_col: str = "media", keep: tuple[str, ...]
     names = [f.name for f in schema]
 
     def run(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                some = b.slice(at, 256)
-                take, out = [], []
-                for k, data in enumerate(some.column(len(keep)).to_pylist()):
-                    page = -1
-                    try:
-                        if data is None:
-                            raise TiffError("no media")
-                        for page, p in enumerate(pages(data)):
-                            h, w, c = p.samples.shape
-                            take.append(k)
-                            out.append((page, w, h, c, 8 * p.samples.dtype.itemsize, p.compression, p.predictor, p.samples.tobytes(), feature(p.samples), None))
-                        if page < 0:
-                            raise TiffError("no page")
-                    except TiffError as e:
+        for some in slices(batches, 256):
+            take, out = [], []
+            for k, data in enumerate(some.column(len(keep)).to_pylist()):
+                page = -1
+                try:
+                    if data is None:
+                        raise TiffError("no media")
+                    for page, p in enumerate(pages(data)):
+                        h, w, c = p.samples.shape
                         take.append(k)
-                        out.append((None,) * 9 + (str(e),))
-                cols = [some.column(i).take(pa.array(take, pa.int64())) for i in range(len(keep))]
-                yield pa.RecordBatch.from_arrays(cols + [pa.array(list(x), t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
+                        out.append((page, w, h, c, 8 * p.samples.dtype.itemsize, p.compression, p.predictor, p.samples.tobytes(), feature(p.samples), None))
+                    if page < 0:
+                        raise TiffError("no page")
+                except TiffError as e:
+                    take.append(k)
+                    out.append((None,) * 9 + (str(e),))
+            cols = [some.column(i).take(pa.array(take, pa.int64())) for i in range(len(keep))]
+            yield pa.RecordBatch.from_arrays(cols + [pa.array(list(x), t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     return rows.mapInArrow(run, schema)
 
@@ -346,16 +344,14 @@ def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     line = width * channels
 
     def run(batches):
-        for b in batches:
-            for at in range(0, b.num_rows, 256):
-                some = b.slice(at, 256)
-                body = some.column("body").to_pylist()
-                media = []
-                for data in body:
-                    n = max(1, -(-len(data) // line))
-                    image = np.frombuffer(data.ljust(n * line, b" "), dtype=np.uint8).reshape(n, width, channels)
-                    media.append(encode([image], compression))
-                yield pa.RecordBatch.from_arrays([some.column("id"), pa.array([len(d) for d in body], pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
+        for some in slices(batches, 256):
+            body = some.column("body").to_pylist()
+            media = []
+            for data in body:
+                n = max(1, -(-len(data) // line))
+                image = np.frombuffer(data.ljust(n * line, b" "), dtype=np.uint8).reshape(n, width, channels)
+                media.append(encode([image], compression))
+            yield pa.RecordBatch.from_arrays([some.column("id"), pa.array([len(d) for d in body], pa.int64()), pa.array(media, pa.binary())], ["id", "n_bytes", "media"])
 
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
