@@ -219,3 +219,25 @@ def test_command_line(spark, tmp_path, capsys):
     assert "'sql_statements_emitted': 13" in capsys.readouterr().out
     header = next(p for p in os.listdir(out / "edges_csv") if p.endswith(".csv"))
     assert (out / "edges_csv" / header).read_text().startswith("script_name,statement_order,statement_type,source_table")
+
+
+def test_json_documents(spark, tmp_path):
+    from strandline.sources.documents import read_parsed, write_graph, write_parsed
+
+    parsed = parse(spark.createDataFrame(SCRIPTS, "script_name string, text string"))
+    write_parsed(parsed, str(tmp_path / "p"))
+    back = read_parsed(spark, str(tmp_path / "p"))
+    assert back.schema.simpleString() == parsed.schema.simpleString()
+    assert sorted(map(repr, graph.edges(back).collect())) == sorted(map(repr, graph.edges(parsed).collect()))
+    e = graph.edges(parsed)
+    write_graph(e, graph.chains(graph.resolved(e)), str(tmp_path / "g"))
+    assert spark.read.json(str(tmp_path / "g/summary")).first().total_edges == 13
+
+
+def test_experiment(spark):
+    from strandline.operators.experiment import compare
+
+    names = ", ".join(f"C{k}" for k in range(800))
+    sql = f"INSERT INTO T ({names}) SELECT {', '.join(f'S.C{k}' for k in range(800))} FROM S;\nINSERT INTO U (A) SELECT 1 FROM S;\n"
+    got = compare(text.statements(spark.createDataFrame([("a.sh", sql)], "script_name string, text string"))).collect()
+    assert [(r.full_columns, r.full_with_sources, r.text_columns, r.text_with_sources) for r in got] == [(800, 800, 800, 800)]
