@@ -24,10 +24,21 @@ def fresh_path(spark: SparkSession, kind: str) -> str:
     return f"{shared_dir(spark)}/{kind}-{uuid.uuid4().hex}"
 
 
+#: Folders that this process wrote, for :func:`release`.
+_HELD: list[str] = []
+
+
+def release(spark: SparkSession) -> None:
+    """Delete the tables that this process wrote to the shared folder, once their results have been used."""
+    while _HELD:
+        drop_path(spark, _HELD.pop())
+
+
 def written(df: DataFrame, kind: str) -> DataFrame:
     """``df`` as a table in the shared folder: its lineage ends here, and a lost executor loses none of it."""
     spark = df.sparkSession
     path = fresh_path(spark, kind)
+    _HELD.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
