@@ -25,4 +25,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """Checksums beyond MD5 and SHA, tokenizers and learned models have no DuckDB SQL; tests hold the other queries against plain versions."""
+    return {
+        "op4_warc": """
+            WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+            f AS (SELECT *, strlen(body) AS n, min(page_id) OVER (PARTITION BY body) AS first FROM p),
+            r AS (SELECT *, n >= 100 AND first IS NOT NULL AND page_id IS DISTINCT FROM first AS again FROM f)
+            SELECT page_id, n AS payload_bytes, sha256(body) AS payload_digest, CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first END AS refers_to FROM r""",
+    }
