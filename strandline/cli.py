@@ -1,4 +1,4 @@
-"""Folder to report: ``python -m strandline.cli FOLDER [OUTPUT] [--reset]``, or one step of it with ``--step``."""
+"""Folder to report: ``python -m strandline.cli FOLDER [OUTPUT] [--reset]``."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from strandline.operators import dq, graph, report
 from strandline.plans.pipeline import script_results
+from strandline.progress import Progress
 from strandline.sources.scripts import missing_files, read_dictionary, read_scripts
 from strandline.storage import drop_path
 from strandline.streaming.incremental import evicted, parse_pending
@@ -86,7 +87,8 @@ def main(argv: list[str] | None = None) -> int:
             log.warning("%s isn't there", row.script_name)
         evict(spark, checkpoint, names)
     entries = read_dictionary(spark, a.dict_csv) if a.dict_csv else None
-    parsed = parse_pending(scripts, checkpoint, entries=entries, robust=a.robust, limit=a.max_stmt_chars, seconds=a.stmt_timeout)
+    with Progress(spark):
+        parsed = parse_pending(scripts, checkpoint, entries=entries, robust=a.robust, limit=a.max_stmt_chars, seconds=a.stmt_timeout)
     results = script_results(scripts.select("script_name"), parsed)
     results.write.mode("overwrite").json(f"{out}/script_results")
     total = dq.rollup(results, parsed).withColumns({"wall_seconds": F.lit(round(time.time() - began, 1)), "dictionary": F.lit(a.dict_csv), "prefix": F.lit(a.prefix)})

@@ -241,3 +241,13 @@ def test_experiment(spark):
     sql = f"INSERT INTO T ({names}) SELECT {', '.join(f'S.C{k}' for k in range(800))} FROM S;\nINSERT INTO U (A) SELECT 1 FROM S;\n"
     got = compare(text.statements(spark.createDataFrame([("a.sh", sql)], "script_name string, text string"))).collect()
     assert [(r.full_columns, r.full_with_sources, r.text_columns, r.text_with_sources) for r in got] == [(800, 800, 800, 800)]
+
+
+def test_progress(spark):
+    from strandline.progress import Progress, milestones
+
+    assert milestones(0, 0, 0) == [] and milestones(35, 100, 10) == [20, 30] and milestones(100, 100, 90) == [100]
+    said = []
+    with Progress(spark, said.append, 0.05):
+        spark.range(0, 40, 1, 8).mapInPandas(lambda it: (__import__("time").sleep(0.3) or b for b in it), "id long").count()
+    assert all(x.endswith(" %") for x in said)
