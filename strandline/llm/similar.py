@@ -16,7 +16,7 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandline.llm.common import slices, written
@@ -107,8 +107,29 @@ def chosen(n: int, i: np.ndarray, j: np.ndarray, d: np.ndarray) -> np.ndarray:
     return np.array(keep, dtype=np.int64)
 
 
+def text_key(c: Column) -> Column:
+    """Sixteen bytes that stand for a text."""
+    return F.unhex(F.md5(c.cast("binary")))
+
+
+#: Bits of the filter below, and so its greatest size: 16 MB in rows of 4 kB.
+FILTER_BITS = 1 << 27
+
+
+def flagged(rows: DataFrame, keys: list[str], wanted: DataFrame) -> DataFrame:
+    """``rows`` with ``flagged``: false where the key is surely not in ``wanted``. Its size is bounded whatever ``wanted`` holds; an exact join of the flagged rows follows."""
+    at = F.pmod(F.xxhash64(*keys), F.lit(FILTER_BITS)) + 1
+    bits = wanted.select(at.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("filter bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("filter bits"))
+    met = rows.withColumn("filter at", at).withColumn("filter bucket", F.bitmap_bucket_number("filter at")).join(F.broadcast(bits), "filter bucket", "left")
+    place = F.bitmap_bit_position("filter at")
+    byte = F.conv(F.hex(F.substring(F.col("filter bits"), (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.expr("shiftright(`filter byte`, cast(`filter place` % 8 as int)) & 1") == 1
+    met = met.withColumn("filter place", place).withColumn("filter byte", byte)
+    return met.select(*rows.columns, F.coalesce(hit, F.lit(False)).alias("flagged"))
+
+
 def signatures(docs: DataFrame, text_col: str, words: int) -> DataFrame:
-    """key (md5 of the text), size and sig of each distinct text; null is an empty text."""
+    """key (of the text), size and sig of each distinct text; null is an empty text."""
     bodies = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("body"))
 
     def run(batches):
@@ -116,10 +137,10 @@ def signatures(docs: DataFrame, text_col: str, words: int) -> DataFrame:
             h = [shingles(t.encode(), words) for t in b.column("body").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array([len(x) for x in h], pa.int64()), pa.array([signature(x).tobytes() for x in h], pa.binary())], ["key", "size", "sig"])
 
-    return bodies.select(F.md5(F.col("body").cast("binary")).alias("key"), "body").mapInArrow(run, "key string, size long, sig binary").groupBy("key").agg(F.first("size").alias("size"), F.first("sig").alias("sig"))
+    return bodies.select(text_key(F.col("body")).alias("key"), "body").mapInArrow(run, "key binary, size long, sig binary").groupBy("key").agg(F.first("size").alias("size"), F.first("sig").alias("sig"))
 
 
-def candidates(texts: DataFrame, similarity: float, least_tile: int = 1024, most_tile: int = 1 << 18, grid: int = 48) -> DataFrame:
+def candidates(texts: DataFrame, similarity: float, least_tile: int = 1024, most_tile: int = 1 << 18, grid: int = 16) -> DataFrame:
     """Columns a, b: links to prove, from a written table of signatures."""
     level = F.when(F.col("size") == 0, -1).otherwise(F.floor(F.log(F.col("size").cast("double")) / math.log(1 / similarity))).cast("int")
     classed = texts.withColumn("level", level)
@@ -139,7 +160,7 @@ def candidates(texts: DataFrame, similarity: float, least_tile: int = 1024, most
     cells = dealt.select("cell.*", "own", "key", "sig").repartition("la", "ta", "lb", "tb").sortWithinPartitions("la", "ta", "lb", "tb", "own", "key")
     first, whole = radius(similarity, 64), radius(similarity, 64 * WORDS64)
 
-    def cell(keys: list[str], own: np.ndarray, sig: np.ndarray):
+    def cell(keys: list[bytes], own: np.ndarray, sig: np.ndarray):
         by = np.lexsort((np.bitwise_count(sig).sum(1), own))
         keys, own, sig = [keys[k] for k in by], own[by], sig[by]
         cut = int(np.searchsorted(own, own[0], side="right"))
@@ -149,7 +170,7 @@ def candidates(texts: DataFrame, similarity: float, least_tile: int = 1024, most
             j = j + cut
         if len(i):
             k = chosen(len(keys), i, j, d)
-            yield pa.RecordBatch.from_arrays([pa.array([keys[x] for x in i[k].tolist()], pa.string()), pa.array([keys[x] for x in j[k].tolist()], pa.string())], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array([keys[x] for x in i[k].tolist()], pa.binary()), pa.array([keys[x] for x in j[k].tolist()], pa.binary())], ["a", "b"])
 
     def run(batches):
         held_id, keys, own, sig = None, [], [], []
@@ -169,14 +190,16 @@ def candidates(texts: DataFrame, similarity: float, least_tile: int = 1024, most
         if keys:
             yield from cell(keys, np.concatenate(own), np.concatenate(sig))
 
-    return cells.mapInArrow(run, "a string, b string").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    return cells.mapInArrow(run, "a binary, b binary").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def proved(links: DataFrame, docs: DataFrame, text_col: str, words: int, similarity: float) -> DataFrame:
     """Links whose texts have the similarity; only texts with a link move."""
-    ends = links.select(F.explode(F.array("a", "b")).alias("key")).distinct()
-    body = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("body")).withColumn("key", F.md5(F.col("body").cast("binary")))
-    texts = written(body.join(ends, "key", "left_semi").groupBy("key").agg(F.first("body").alias("body")), "similar-texts")
+    ends = written(links.select(F.explode(F.array("a", "b")).alias("key")).distinct(), "similar-ends")
+    body = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("body")).withColumn("key", text_key(F.col("body")))
+    body = flagged(body, ["key"], ends).filter("flagged").drop("flagged")
+    # copies are one row before they move; then false hits of the filter go
+    texts = written(body.groupBy("key").agg(F.first("body").alias("body")).join(ends, "key", "left_semi"), "similar-texts")
     pairs = links.join(texts.select(F.col("key").alias("a"), F.col("body").alias("body_a")), "a").join(texts.select(F.col("key").alias("b"), F.col("body").alias("body_b")), "b")
 
     def run(batches):
@@ -188,11 +211,11 @@ def proved(links: DataFrame, docs: DataFrame, text_col: str, words: int, similar
                 good.append(both >= similarity * (len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))
 
-    return pairs.select("a", "b", "body_a", "body_b").mapInArrow(run, "a string, b string")
+    return pairs.select("a", "b", "body_a", "body_b").mapInArrow(run, "a binary, b binary")
 
 
 def classes(docs: DataFrame, text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """node and root: texts (by md5) that have a near-duplicate, and their group; texts without one aren't there."""
+    """node and root: texts (by key) that have a near-duplicate, and their group; texts without one aren't there."""
     texts = written(signatures(docs, text_col, words), "similar-signatures")
     links = written(candidates(texts, similarity), "similar-links")
     return contract(proved(links, docs, text_col, words, similarity))
@@ -204,16 +227,22 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     Equal texts are one group; texts without words are one group as well. Of rows equal in every column one stays. An empty
     table gives no rows, extra columns pass through whatever their names.
     """
-    mark, key = F.xxhash64(*docs.columns), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    rows = docs.select(F.col(id_col).alias("doc"), mark.alias("mark"), key.alias("key"))
+    mark, key = F.xxhash64(*docs.columns), text_key(F.coalesce(F.col(text_col), F.lit("")))
+    rows = written(docs.select(F.col(id_col).alias("doc"), mark.alias("mark"), key.alias("key")).groupBy("doc", "mark", "key").agg(F.count("*").alias("n")), "similar-rows")
     member = classes(docs, text_col, words, similarity).select(F.col("node").alias("key"), "root")
     # combined by text before the join, so that a text with very many copies is one row of it
-    each = rows.groupBy("key").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "mark")).alias("kept"))
-    best = each.join(member, "key", "left").groupBy(F.coalesce("root", "key").alias("group")).agg(F.min("kept").alias("kept"))
-    kept = written(best.select("kept.doc", "kept.mark").distinct(), "similar-kept")
+    each = rows.groupBy("key").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "mark")).alias("kept"), F.sum("n").alias("n"))
+    grouped = written(each.join(member, "key", "left").select("key", "kept", "n", F.coalesce("root", "key").alias("group")), "similar-groups")
+    best = grouped.groupBy("group").agg(F.min("kept").alias("kept"), F.sum("n").alias("n")).filter("n > 1")
+    several = written(grouped.select("key", "group").join(best, "group").select("key", F.col("kept.doc").alias("kept_doc"), F.col("kept.mark").alias("kept_mark")), "similar-several")
+    met = rows.join(several, "key")
+    best_row = F.col("doc").eqNullSafe(F.col("kept_doc")) & (F.col("mark") == F.col("kept_mark"))
+    gone = written(met.select("doc", "mark", "n", best_row.alias("best")).filter("not best or n > 1"), "similar-gone")
+    # rows that are surely kept stay where they are; the others move by their id and mark
     names = [f"c{i}" for i in range(len(docs.columns))]
-    own = docs.select("*", mark.alias("row mark")).toDF(*names, "mark")
-    doc = names[docs.columns.index(id_col)]
-    met = own.alias("o").join(kept.alias("k"), (F.col("o.mark") == F.col("k.mark")) & F.col(f"o.{doc}").eqNullSafe(F.col("k.doc")), "left_semi")
-    first = Window.partitionBy("mark", doc).orderBy("mark")
-    return met.withColumn("copy", F.row_number().over(first)).filter("copy = 1").select(*names).toDF(*docs.columns)
+    own = docs.select("*", mark.alias("row mark")).toDF(*names, "mark").withColumn("doc", F.col(names[docs.columns.index(id_col)]))
+    split = flagged(own, ["doc", "mark"], gone)
+    moved = split.filter("flagged").alias("o").join(gone.filter("not best").alias("g"), (F.col("o.mark") == F.col("g.mark")) & F.col("o.doc").eqNullSafe(F.col("g.doc")), "left_anti")
+    first = Window.partitionBy("mark", "doc").orderBy("mark")
+    once = moved.withColumn("copy", F.row_number().over(first)).filter("copy = 1")
+    return split.filter("not flagged").select(*names).union(once.select(*names)).toDF(*docs.columns)
