@@ -25,7 +25,7 @@ from strandline.llm.simhash import CHUNK, SEED, contract
 WORDS64 = 4
 #: Odd multipliers that turn one hash into further independent words: fixed values.
 MIX = np.array([1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], dtype=np.uint64)
-NEAREST = 4
+NEAREST = 16
 
 
 def shingles(text: bytes, words: int) -> np.ndarray:
@@ -60,9 +60,13 @@ def radius(similarity: float, bits: int, sigmas: float = 3.0) -> int:
     return math.ceil(bits * p + sigmas * math.sqrt(bits * p * (1 - p)))
 
 
-def hits(x: np.ndarray, y: np.ndarray, same: bool, first: int, whole: int, block: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, distance) of all pairs within ``whole`` bits whose first words are within ``first``; ``same``: y is x."""
-    px, py = (np.bitwise_count(v).sum(1, dtype=np.int64) for v in (x, y))
+def hits(x: np.ndarray, y: np.ndarray, same: bool, first: int, whole: int, block: int = 1024, most: int = 1 << 21) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, distance) of pairs within ``whole`` bits whose first words are within ``first``; ``same``: y is x.
+
+    Of a dense block, and of more than ``most`` links, only those that :func:`chosen` takes are held, so that memory is bounded
+    by the rows, not by the pairs; a forest of forests' links is a forest of them all.
+    """
+    px, py, held = *(np.bitwise_count(v).sum(1, dtype=np.int64) for v in (x, y)), 0
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for a in range(0, len(x), block):
         p, top, low = x[a : a + block], px[a : a + block].max(), px[a : a + block].min()
@@ -75,7 +79,17 @@ def hits(x: np.ndarray, y: np.ndarray, same: bool, first: int, whole: int, block
             if len(i):
                 d = np.bitwise_count(p[i] ^ q[j]).sum(1, dtype=np.int64)
                 k = d <= whole
-                out.append((i[k] + a, j[k] + b, d[k]))
+                i, j, d = i[k], j[k], d[k]
+                if len(i) > 8 * block:  # a dense block: what matters of it is little
+                    k = chosen(2 * block, i, j if same and a == b else j + block, d)
+                    i, j, d = i[k], j[k], d[k]
+                out.append((i + a, j + b, d))
+                held += len(i)
+                if held > most:
+                    i, j, d = (np.concatenate(v) for v in zip(*out, strict=True))
+                    k = chosen(len(x) + len(y), i, j if same else j + len(x), d)
+                    out, held = [(i[k], j[k], d[k])], len(k)
+                    most = max(most, 2 * held)
     if not out:
         none = np.zeros(0, dtype=np.int64)
         return none, none, none
@@ -204,9 +218,12 @@ def proved(links: DataFrame, docs: DataFrame, text_col: str, words: int, similar
 
     def run(batches):
         for b in slices(batches):
-            good = []
-            for x, y in zip(b.column("body_a").to_pylist(), b.column("body_b").to_pylist(), strict=True):
-                p, q = shingles(x.encode(), words), shingles(y.encode(), words)
+            good, held = [], {}
+            for pair in zip(*(b.column(c).to_pylist() for c in ("a", "body_a", "b", "body_b")), strict=True):
+                for k, t in (pair[:2], pair[2:]):
+                    if k not in held:
+                        held[k] = shingles(t.encode(), words)
+                p, q = held[pair[0]], held[pair[2]]
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 good.append(both >= similarity * (len(p) + len(q) - both))
             yield pa.RecordBatch.from_arrays([b.column("a"), b.column("b")], ["a", "b"]).filter(pa.array(good, pa.bool_()))

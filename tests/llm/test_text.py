@@ -15,6 +15,7 @@ import xxhash
 from helpers import empty, odd_docs, signature, with_clashes
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions
 from tokenizers import Tokenizer
 
 from strandline.llm import bpe, html, langid, mil, packing, rules, similar, simhash, trees
@@ -268,7 +269,7 @@ def test_langid_odd_rows(spark):
     got = langid.identify(docs).collect()
     assert len(got) == 10 and sorted(str(r.doc_id) for r in got if r.lang_pred == "und") == ["3", "4", "5", "None"]
     assert langid.keep(docs).columns == docs.columns
-    assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", docs.lang.substr(9, 1).cast("int").cast("string"))).collect()} == {"und"}
+    assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", functions.lit(None).cast("string"))).collect()} == {"und"}
     assert langid.identify(empty(docs)).count() == 0 and langid.keep(empty(docs)).count() == 0
 
 
@@ -432,6 +433,23 @@ def test_similar_groups(spark):
     assert sorted(r.doc_id for r in similar.keep_one(docs).collect()) == sorted(set(label))
 
 
+@pytest.mark.parametrize("same", [True, False])
+def test_hits_of_a_dense_group(same):
+    """More links than are held at a time: the groups stay those of all links."""
+    r = np.random.default_rng(1)
+    centres = r.integers(0, 1 << 63, (3, similar.WORDS64)).astype(np.uint64)
+    sig = centres[r.integers(0, 3, 300)] ^ (np.uint64(1) << r.integers(0, 64, (300, similar.WORDS64)).astype(np.uint64))
+    sig = sig[np.argsort(np.bitwise_count(sig).sum(1))]
+    x, y = (sig, sig) if same else (sig[::2], sig[1::2])
+    px = [v[np.argsort(np.bitwise_count(v).sum(1), kind="stable")] for v in (x, y)]
+    for few in ({"block": 16, "most": 300}, {}):
+        i, j, d = similar.hits(px[0], px[0] if same else px[1], same, 19, 56, **few)
+        n = len(px[0])
+        label = simhash._propagate(n if same else n + len(px[1]), i, j if same else j + n)
+        assert len(set(label.tolist())) == 3
+    assert len(similar.chosen(n if same else n + len(px[1]), i, j if same else j + n, d)) <= (similar.NEAREST + 1) * len(label)
+
+
 def test_similar_odd_rows(spark):
     docs = with_clashes(odd_docs(spark))
     got = similar.keep_one(docs)
