@@ -44,15 +44,20 @@ def _hop(number: Column | int) -> Column:
     return F.struct(n.cast("int").alias("hop"), "source_column", "target_column", F.col("statement_order").cast("int").alias("statement_order"), "statement_type", "resolved_expression", "classification", "script_name").cast(HOP)
 
 
-def reach(e: DataFrame, starts: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
+def best_edges(e: DataFrame) -> DataFrame:
+    """One edge for each pair of nodes: that of the earliest statement, then the first in text order."""
+    best = F.min(F.struct("statement_order", "resolved_expression", "script_name", "statement_type", "classification")).alias("b")
+    good = e.filter("source_column is not null and target_column is not null")
+    return good.groupBy("source_column", "target_column").agg(best).select("source_column", "target_column", "b.*")
+
+
+def reach(hop: DataFrame, starts: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
     """Columns root, node, hops, path: for each root and each node that it reaches, a path of the fewest hops.
 
-    Breadth first. Of several edges between two nodes the earliest statement's counts, of several shortest paths that which
-    comes first in text order, so results don't depend on the order of rows. Pruning by (root, node) each round keeps the work
-    within roots times edges, and ends cycles. Each round is a written table; nothing is collected.
+    ``hop``: a written table of :func:`best_edges`. Breadth first; of several shortest paths that counts which comes first in
+    text order, so results don't depend on the order of rows. Pruning by (root, node) each round keeps the work within roots
+    times edges, and ends cycles. Each round is a written table; nothing is collected.
     """
-    best = F.min(F.struct("statement_order", "resolved_expression", "script_name", "statement_type", "classification")).alias("b")
-    hop = written(e.groupBy("source_column", "target_column").agg(best).select("source_column", "target_column", "b.*"), "graph-edges")
     starts = starts if starts is not None else roots(hop)
     key = F.concat_ws("\x01", F.col("path.source_column"), F.col("node"))
     seen = written(starts.select(F.col("node").alias("root"), "node", F.lit(0).alias("hops"), F.array().cast(f"array<{HOP}>").alias("path")), "graph-reach")
@@ -74,9 +79,9 @@ def reach(e: DataFrame, starts: DataFrame | None = None, max_rounds: int | None
 
 def chains(e: DataFrame, starts: DataFrame | None = None) -> DataFrame:
     """One chain for each root and each leaf that it reaches, in order of source and target."""
-    good = e.filter("source_column is not null and target_column is not null")
-    ends = leaves(good).withColumnRenamed("node", "ultimate_target")
-    found = reach(good, starts).select(F.col("root").alias("ultimate_source"), F.col("node").alias("ultimate_target"), "hops", "path")
+    hop = written(best_edges(e), "graph-edges")
+    ends = leaves(hop).withColumnRenamed("node", "ultimate_target")
+    found = reach(hop, starts).select(F.col("root").alias("ultimate_source"), F.col("node").alias("ultimate_target"), "hops", "path")
     return found.join(ends, "ultimate_target", "left_semi").select("ultimate_source", "ultimate_target", "hops", "path").orderBy("ultimate_source", "ultimate_target")
 
 

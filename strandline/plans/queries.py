@@ -11,7 +11,7 @@ from strandline.functions import text
 from strandline.operators import dedup, dq, graph, patterns, report
 from strandline.plans.pipeline import parse, script_results
 from strandline.sources.scripts import dictionary
-from strandline.storage import table
+from strandline.storage import table, written
 from strandline.streaming.incremental import latest, pending
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -298,7 +298,7 @@ def direct_sources(spark, sf_dir):
 @query(f"""WITH RECURSIVE {WALK_SQL}, u AS (SELECT node, string_agg(DISTINCT root, ',' ORDER BY root) AS r, count(*) AS n FROM chains GROUP BY node)
   SELECT t.target_column, t.d AS direct_sources, coalesce(u.r, '') AS ultimate_base_sources, coalesce(u.n, 0) AS chains FROM (SELECT target_column, string_agg(DISTINCT source_column, ',' ORDER BY source_column) AS d FROM e GROUP BY 1) t LEFT JOIN u ON u.node = t.target_column""")
 def column_lineage(spark, sf_dir):
-    e = data_edges(spark, sf_dir)
+    e = written(data_edges(spark, sf_dir), "edges")
     found = graph.column_lineage(e, graph.chains(e))
     return found.select("target_column", F.array_join("direct_sources", ",").alias("direct_sources"), F.array_join("ultimate_base_sources", ",").alias("ultimate_base_sources"), F.size("transformation_chains").cast("long").alias("chains"))
 
@@ -306,7 +306,7 @@ def column_lineage(spark, sf_dir):
 @query(f"""WITH RECURSIVE {WALK_SQL} SELECT (SELECT count(*) FROM e) AS total_edges, (SELECT count(source_column) FROM e) AS resolved_edges, 0::BIGINT AS unresolved_edges, (SELECT count(DISTINCT target_column) FROM e) AS unique_target_columns,
   (SELECT count(*) FROM chains) AS total_chains, (SELECT coalesce(max(hops), 0) FROM chains) AS max_chain_hops""")
 def graph_summary(spark, sf_dir):
-    e = data_edges(spark, sf_dir)
+    e = written(data_edges(spark, sf_dir), "edges")
     return graph.summary(e, graph.chains(e))
 
 
@@ -339,7 +339,7 @@ def constant_only(spark, sf_dir):
 @query(f"""WITH {REPORT_SQL}, f AS (SELECT target_column, bool_or(source_column IS NOT NULL) AS ok FROM x WHERE target_column NOT IN (SELECT source_column FROM x WHERE source_column IS NOT NULL) GROUP BY 1 HAVING NOT bool_and(source_column IS NULL AND classification = 'Constant'))
   SELECT string_split(target_column, '.')[1] AS "table", count(*) AS columns, count(*) FILTER (ok) AS resolved, count(*) FILTER (NOT ok) AS unresolved FROM f GROUP BY 1""")
 def report_table_rollup(spark, sf_dir):
-    e = _report_edges(spark, sf_dir)
+    e = written(_report_edges(spark, sf_dir), "edges")
     return report.by_table(report.columns(e, graph.column_lineage(e, graph.chains(e))))
 
 
