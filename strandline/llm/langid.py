@@ -94,7 +94,15 @@ def windows(data: bytes) -> np.ndarray:
     return np.frombuffer(data.ljust(n * WINDOW, b"\0"), dtype=np.uint8).reshape(n, WINDOW)
 
 
-def train(texts: list[bytes], labels: list[str], epochs: int = 6, batch: int = 96, per_text: int = 4, seed: int = 7) -> Network:
+def cuts(data: bytes, most: int = 16) -> list[bytes]:
+    """For learning: all windows of a text, of a long one ``most`` at equal distances; so a sample's size is bounded in bytes as well."""
+    if len(data) <= WINDOW * most:
+        return [data[k : k + WINDOW] for k in range(0, max(1, len(data)), WINDOW)]
+    step = (len(data) - WINDOW) / (most - 1)
+    return [data[int(k * step) : int(k * step) + WINDOW] for k in range(most)]
+
+
+def train(texts: list[bytes], labels: list[str], steps: int = 600, batch: int = 96, seed: int = 7) -> Network:
     """From cuts of random places and lengths, short ones included, so that short texts are like what it has seen."""
     classes = sorted(set(labels))
     net, rng = Network.new(classes, seed), np.random.default_rng(seed)
@@ -102,7 +110,6 @@ def train(texts: list[bytes], labels: list[str], epochs: int = 6, batch: int = 9
     weight = 1 / np.bincount(y_all, minlength=max(1, len(classes)))
     chance = weight[y_all] / weight[y_all].sum()
     optimiser = Adam(net.params, 0.01)
-    steps = max(1, epochs * per_text * len(texts) // batch)
     for s in range(steps):
         optimiser.rate = 0.01 * (1 - s / steps) + 0.0005
         chosen = rng.choice(len(texts), batch, p=chance)
@@ -155,11 +162,19 @@ def predict(texts: list[str | None], net: Network) -> tuple[list[str], np.ndarra
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_out: int = 2, per_language: int = 600) -> Network | None:
-    """From about ``per_language`` documents of each language at most, none of the held-out fold; None where none is labelled."""
+    """From about ``per_language`` documents of each language at most and :func:`cuts` of them, none of the held-out fold; None where none is labelled."""
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"), F.col(lang_col).alias("lang"))
     labelled = rows.filter(F.col("lang").isNotNull() & F.col("body").isNotNull() & (remainder("id", folds) != held_out))
-    found = bounded(labelled, "lang", "id", per_language).select("lang", F.col("body").cast("binary").alias("body")).orderBy(F.xxhash64("id"), "lang", F.xxhash64("body")).collect()
-    return train([bytes(r.body) for r in found], [r.lang for r in found]) if found else None
+    sample = bounded(labelled, "lang", "id", per_language).select("lang", F.col("body").cast("binary").alias("body"))
+
+    def run(batches):
+        for b in slices(batches):
+            cut = [cuts(t) for t in b.column("body").to_pylist()]
+            at = pa.array(np.repeat(np.arange(b.num_rows), [len(c) for c in cut]), pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("lang").take(at), pa.array([x for c in cut for x in c], pa.binary())], ["lang", "cut"])
+
+    found = sample.mapInArrow(run, "lang string, cut binary").orderBy("lang", "cut").collect()
+    return train([bytes(r.cut) for r in found], [r.lang for r in found]) if found else None
 
 
 def identify(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id", text_col: str = "text", folds: int = 4, held_out: int = 2) -> DataFrame:

@@ -129,10 +129,16 @@ def _in_parts(texts: list[bytes], size: int = 1 << 18):
         yield at, len(texts)
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 5, held_out: int = 0, per_class: int = 1500) -> Network | None:
+def spread(n: int, most: int) -> np.ndarray:
+    """All of n places, or ``most`` at equal distances."""
+    return np.arange(n) if n <= most else np.linspace(0, n - 1, most).astype(np.int64)
+
+
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 5, held_out: int = 0, per_class: int = 1500, passages: int = 64) -> Network | None:
     """From about ``per_class`` labelled documents of either class at most, none of the held-out fold.
 
-    Passages are encoded where the documents are; what the driver gets is bounded by ``per_class``. None without labels.
+    Passages are encoded where the documents are; of a longer document, ``passages`` at equal distances are learned from, so
+    what the driver gets is bounded. None without labels.
     """
     known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter(F.col("label").isin(0, 1) & F.col("id").isNotNull() & (remainder("id", folds) != held_out))
     sample = bounded(known, "label", "id", per_class).dropDuplicates(["id"])
@@ -145,7 +151,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for lo, hi in _in_parts(body):
                 x, counts = features(body[lo:hi])
                 x, ends = x.astype(np.float16), np.cumsum(counts)
-                data = [x[e - n : e].tobytes() for n, e in zip(counts, ends, strict=True)]
+                data = [x[e - n : e][spread(n, passages)].tobytes() for n, e in zip(counts, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column("label").slice(lo, hi - lo), b.column("id").slice(lo, hi - lo), pa.array(data, pa.binary())], ["label", "id", "x"])
 
     found = rows.mapInArrow(run, rows.select("label", "id", F.lit(b"").alias("x")).schema).collect()
