@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import functools
 import os
+import struct
 import zlib
 
 import numpy as np
@@ -49,13 +50,32 @@ class Tokenizer:
         pre = said.get("pre_tokenizer") or {}
         plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not said.get("normalizer")
         self.cuts = plain and not any(c.isspace() for t in said.get("added_tokens") or () for c in t["content"])
+        ids = self.own.get_vocab(with_added_tokens=True)
+        self.blank = np.zeros(max(ids.values()) + 1, dtype=bool)
+        self.blank[[i for t, i in ids.items() if t[:1] == "\u0120"]] = True  # how such vocabularies write a blank
         self.memo: dict[str, bytes] = {}
         self.aged: dict[str, bytes] = {}
         self.limit = memo
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         encode = getattr(self.own, "encode_batch_fast", self.own.encode_batch)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
+        return [struct.pack(f"<{len(ids)}I", *ids) for e in encode(texts, add_special_tokens=False) for ids in (e.ids,)]
+
+    def _encode_stretches(self, new: list[str], together: int = 1000) -> dict[str, bytes]:
+        """Stretches of a blank and no further one are encoded many at a time: each begins with its only token that begins with a blank."""
+        joined = [c for c in new if len(c) > 1 and c[0] == " " and " " not in c[1:] and not c[1].isspace() and not c[-1].isspace()]
+        rest = set(new).difference(joined)
+        parts = [joined[k : k + together] for k in range(0, len(joined), together)]
+        out: dict[str, bytes] = {}
+        for part, data in zip(parts, self._encode(["".join(p) for p in parts]), strict=True):
+            starts = np.flatnonzero(self.blank[np.frombuffer(data, dtype="<u4")])
+            if len(starts) != len(part) or starts[0]:
+                rest.update(part)
+                continue
+            edges = [*(4 * starts).tolist(), len(data)]
+            out |= {c: data[a:b] for c, a, b in zip(part, edges[:-1], edges[1:], strict=True)}
+        rest_list = list(rest)
+        return out | dict(zip(rest_list, self._encode(rest_list), strict=True))
 
     @staticmethod
     def stretches(text: str) -> list[str]:
@@ -74,15 +94,17 @@ class Tokenizer:
         if not self.cuts:
             return self._encode(texts)
         cut = [self.stretches(t) for t in texts]
-        found = [list(map(self.memo.get, c)) for c in cut]
-        missing = {c for cs, fs in zip(cut, found, strict=True) if None in fs for c, f in zip(cs, fs, strict=True) if f is None}
+        missing = set().union(*cut).difference(self.memo)
         own = {c: x for c in missing if (x := self.aged.get(c)) is not None}
-        new = [c for c in missing if c not in own]
-        own |= zip(new, self._encode(new), strict=True)
-        packed = [b"".join([own[c] if f is None else f for c, f in zip(cs, fs, strict=True)] if None in fs else fs) for cs, fs in zip(cut, found, strict=True)]
-        if len(self.memo) + len(own) > self.limit:
-            self.memo, self.aged = {}, self.memo
-        self.memo |= {c: x for c, x in own.items() if len(c) <= 64}
+        new = list(missing.difference(own))
+        own |= self._encode_stretches(new)
+        if len(self.memo) + len(own) > self.limit:  # the older half goes; what these texts use comes along
+            self.memo, self.aged = {c: x for c in set().union(*cut).difference(own) if (x := self.memo.get(c)) is not None}, self.memo
+        self.memo |= own
+        packed = [b"".join(map(self.memo.__getitem__, c)) for c in cut]
+        for c in own:
+            if len(c) > 64:  # whole texts and the like aren't worth keeping
+                del self.memo[c]
         return packed
 
 
