@@ -450,6 +450,36 @@ def test_hits_of_a_dense_group(same):
     assert len(similar.chosen(n if same else n + len(px[1]), i, j if same else j + n, d)) <= (similar.NEAREST + 1) * len(label)
 
 
+def test_similar_hub_and_templates(spark):
+    """A text with hundreds of copies that are unlike each other, and a family just below the similarity with a few true pairs."""
+    r, rows = random.Random(5), []
+
+    def edited(base, at):
+        return [f"e{r.randrange(10**9)}" if k in at else w for k, w in enumerate(base)]
+
+    hub = [f"h{k}" for k in range(300)]
+    rows += [hub] + [edited(hub, {6 * k + 2 for k in r.sample(range(49), 6)}) for _ in range(700)]
+    form = [f"t{k}" for k in range(300)]
+    members = [edited(form, {7 * k + 3 for k in r.sample(range(42), 4)}) + [f"m{n} {k}" for k in range(12)] for n in range(300)]
+    rows += members + [edited(m, {5, 100}) for m in members[::30]]
+    texts = [" ".join(w) for w in rows]
+    r.shuffle(texts)
+    label = list(range(len(texts)))
+
+    def root(k):
+        while label[k] != k:
+            k = label[k]
+        return k
+
+    for a, b in similar_pairs(texts):
+        x, y = root(a), root(b)
+        label[max(x, y)] = min(x, y)
+    want = sorted({root(k) for k in label})
+    assert 250 < len(want) < 320
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(x.doc_id for x in similar.keep_one(docs).collect()) == want
+
+
 def test_similar_odd_rows(spark):
     docs = with_clashes(odd_docs(spark))
     got = similar.keep_one(docs)
