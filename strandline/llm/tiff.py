@@ -303,7 +303,8 @@ PAGE = {"page": "int", "width": "int", "height": "int", "channels": "int", "bits
 def read_pages(media: DataFrame, media_col: str = "media", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """The columns of ``keep`` and those of PAGE, a row for each page of each file, pages from 0.
 
-    A null or unreadable file, and the rest of a file from an unreadable page on, give one row with ``error`` and nulls.
+    A page that can't be decoded is a row with its number, ``error`` and nulls, and the pages after it go on. A null or unreadable
+    file, and the rest of a file from a broken directory on, give one row with ``error`` and nulls.
     Repeated rows stay; other columns are ignored, so their names can't clash.
     """
     rows = media.select(*keep, F.col(media_col).alias("media to read"))
@@ -319,9 +320,14 @@ def read_pages(media: DataFrame, media_col: str = "media", keep: tuple[str, ...]
                 try:
                     if data is None:
                         raise TiffError("no media")
-                    for page, p in enumerate(pages(data)):
-                        h, w, c = p.samples.shape
+                    for page, (order, tags) in enumerate(directories(data)):
                         take.append(k)
+                        try:
+                            p = decode_page(data, order, tags)
+                        except TiffError as e:
+                            out.append((page, *[None] * 8, str(e)))
+                            continue
+                        h, w, c = p.samples.shape
                         out.append((page, w, h, c, 8 * p.samples.dtype.itemsize, p.compression, p.predictor, p.samples.tobytes(), feature(p.samples), None))
                     if page < 0:
                         raise TiffError("no page")

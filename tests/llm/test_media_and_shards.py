@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import struct
 import zlib
 
 import numpy as np
@@ -51,6 +52,18 @@ def test_tiff_bad_files(spark):
     assert tiff.read_pages(spark.createDataFrame([], "doc_id long, media binary")).count() == 0
 
 
+def test_tiff_pages_after_a_bad_one(spark):
+    """A page of 4 bits between two sound ones: it is an error, they are read."""
+    data = bytearray(tiff.encode([np.full((2, 2, 1), v, dtype=np.uint8) for v in (1, 2, 3)]))
+    at = struct.unpack_from("<I", data, 4)[0]
+    at = struct.unpack_from("<I", data, at + 2 + 12 * struct.unpack_from("<H", data, at)[0])[0]
+    for k in range(struct.unpack_from("<H", data, at)[0]):
+        if struct.unpack_from("<H", data, at + 2 + 12 * k)[0] == tiff.BITS:
+            struct.pack_into("<H", data, at + 10 + 12 * k, 4)
+    got = sorted(tiff.read_pages(spark.createDataFrame([(7, bytes(data))], "doc_id long, media binary")).collect(), key=lambda r: r.page)
+    assert [(r.doc_id, r.page, r.samples and r.samples[0], r.error is None) for r in got] == [(7, 0, 1, True), (7, 1, None, False), (7, 2, 3, True)]
+
+
 def test_tiff_query(spark, data, rows):
     got = {r.doc_id: r for r in queries()["op1_tiff"](spark, data).collect()}
     assert len(got) == len(rows)
