@@ -3,12 +3,12 @@
 Fingerprints: the majority vote, bit by bit, of the XXH64 of a text's word shingles. Two fingerprints link
 at ``radius`` or fewer differing bits, and every such pair is found: distinct fingerprints are cut into
 tiles, a tile pair is compared with numpy's exclusive-or and bit counts, and tile pairs whose population
-counts differ by more than the radius are skipped. Tiles lie within the groups that agree in all but
-``radius`` of ``blocks`` bit ranges (a pair that differs in at most ``radius`` bits agrees in one such
-choice of ranges at least), which keeps the number of tile pairs near the number of fingerprints. A group
-of more than ``tile`` fingerprints is dealt out over cells of two tiles each, so that no task gets an
-unbounded group. Cells give a spanning forest of their links, never all pairs; stars are then contracted
-until each fingerprint points at its component's smallest.
+counts differ by more than the radius are skipped. Tiles lie within cells of a fixed size, which hold whole
+groups of fingerprints that agree in all but ``radius`` of ``blocks`` bit ranges (a pair that differs in at
+most ``radius`` bits agrees in one such choice of ranges at least), so the number of tile pairs grows with
+the number of fingerprints, not with its square. A group beyond a cell is dealt over several, so that no
+task gets an unbounded group. Cells give a spanning forest of their links, never all pairs; stars are then
+contracted until each fingerprint points at its component's smallest.
 """
 
 from __future__ import annotations
@@ -76,85 +76,95 @@ def _forest(fp: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, n
     return fp[nodes[off]], fp[nodes[label[off]]]
 
 
-def compare_tiles(fp: np.ndarray, radius: int, tile: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links among one group, as forests of its tile pairs; fp is in order of population count."""
-    pop, found = np.bitwise_count(fp), []
+def compare_tiles(fp: np.ndarray, radius: int, tile: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], int, int]:
+    """(links, tile pairs compared, tile pairs skipped) of one cell; fp is in order of population count, each value once.
+
+    Links are the forests of the tile pairs. A pair of tiles whose population counts differ by more than the radius can't
+    have a link, nor can any later tile with the same first one.
+    """
+    pop, found, compared = np.bitwise_count(fp), [], 0
+    n = -(-len(fp) // tile)
     for a in range(0, len(fp), tile):
         x = fp[a : a + tile]
+        top = int(pop[min(a + tile, len(fp)) - 1])
         for b in range(a, len(fp), tile):
-            if int(pop[b]) - int(pop[min(a + tile, len(fp)) - 1]) > radius:
-                break  # so are all later tiles
+            if int(pop[b]) - top > radius:
+                break
+            compared += 1
             hit = np.bitwise_count(x[:, None] ^ fp[None, b : b + tile]) <= radius
             i, j = np.nonzero(np.triu(hit, 1) if a == b else hit)
             if len(i):
                 found.append(_forest(fp, i + a, j + b))
-    return found
-
-
-def compare_groups(starts: np.ndarray, fp: np.ndarray, radius: int, tile: int, small: int = 48) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Links within each group of fp; starts: where groups begin. Small groups are compared all at once, shifted by 1, 2, ..."""
-    sizes = np.diff(np.append(starts, len(fp)))
-    found = []
-    for k in np.flatnonzero(sizes > small):
-        found += compare_tiles(fp[starts[k] : starts[k] + sizes[k]], radius, tile)
-    sizes = np.where(sizes > small, 1, sizes)
-    left = np.repeat(sizes, np.diff(np.append(starts, len(fp)))) - (np.arange(len(fp)) - np.repeat(starts, np.diff(np.append(starts, len(fp)))))
-    at, shift, i, j = np.flatnonzero(left > 1), 1, [], []
-    while len(at):
-        hit = at[np.bitwise_count(fp[at] ^ fp[at + shift]) <= radius]
-        i.append(hit)
-        j.append(hit + shift)
-        shift += 1
-        at = at[left[at] > shift]
-    if i and sum(map(len, i)):
-        found.append(_forest(fp, np.concatenate(i), np.concatenate(j)))
-    return found
-
-
-def links(fps: DataFrame, radius: int = 3, blocks: int = 5, tile: int = 1024) -> DataFrame:
-    """Columns a, b: links among the distinct values of ``fps.fp`` that join all that any link joins.
-
-    ``blocks``: into how many bit ranges fingerprints are cut; more blocks mean smaller groups and more of them.
+    return found, compared, n * (n + 1) // 2 - compared
+
+
+#: Fingerprints of a cell, about, and of the tiles that it is cut into.
+CELL, TILE = 2048, 128
+
+
+def cells(fps: DataFrame, radius: int, blocks: int, cell: int) -> DataFrame:
+    """Columns cell, fp: every two distinct fingerprints within the radius are together in a cell of about ``cell`` at least once.
+
+    ``blocks``: into how many bit ranges fingerprints are cut; more blocks mean smaller groups and more of them. Groups (that
+    agree in all but ``radius`` ranges) are dealt whole to as many cells as their rows need; what lies in one cell by chance is
+    compared as well. A group that alone is beyond a cell is cut by a hash into halves of cells, and every two halves meet.
     """
     cuts = [64 * k // blocks for k in range(blocks + 1)]
     masks = []
     for chosen in combinations(range(blocks), blocks - radius):
         m = sum(((1 << (cuts[k + 1] - cuts[k])) - 1) << cuts[k] for k in chosen)
         masks.append(m - (1 << 64) if m >> 63 else m)
+    number = max(1, -(-fps.count() * len(masks) // cell))
     keyed = fps.select("fp", F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m)) for m in masks))).alias("mask", "key"))
-    hot = written(keyed.groupBy("mask", "key").count().filter(F.col("count") > 2 * tile), "simhash-hot")
-    no = F.lit(0)
+    at = F.xxhash64("mask", "key")
+    hot = written(keyed.groupBy("mask", "key").count().filter(F.col("count") > cell), "simhash-hot")
     if hot.isEmpty():
-        cells = keyed.select("mask", "key", no.alias("i"), no.alias("j"), "fp")
-    else:  # rows of hot groups go to each cell that their tile is in
-        tiles = F.ceil(F.col("count") / tile).cast("int")
-        dealt = keyed.join(hot, ["mask", "key"], "left").select("mask", "key", "fp", F.coalesce(tiles, F.lit(1)).alias("n"))
-        dealt = dealt.withColumn("t", F.pmod(F.xxhash64("fp"), F.col("n")).cast("int"))
-        dealt = dealt.select("mask", "key", "fp", "t", F.explode(F.sequence(no, F.col("n") - 1)).alias("u"))
-        cells = dealt.select("mask", "key", F.least("t", "u").alias("i"), F.greatest("t", "u").alias("j"), "fp")
-    cells = cells.repartition("mask", "key", "i", "j").sortWithinPartitions("mask", "key", "i", "j", F.bit_count("fp"), "fp")
+        return keyed.select(F.pmod(at, F.lit(number)).alias("cell"), "fp")
+    halves = F.ceil(F.col("count") * 2 / cell).cast("int")
+    dealt = keyed.join(hot, ["mask", "key"], "left").select("mask", "key", "fp", F.coalesce(halves, F.lit(1)).alias("n"))
+    dealt = dealt.withColumn("t", F.pmod(F.xxhash64("fp"), F.col("n")).cast("int"))
+    dealt = dealt.select("mask", "key", "fp", "n", "t", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("u"))
+    own = F.when(F.col("n") == 1, F.pmod(at, F.lit(number))).otherwise(F.xxhash64("mask", "key", F.least("t", "u"), F.greatest("t", "u")))
+    return dealt.select(own.alias("cell"), "fp")
+
+
+def _compared(fps: DataFrame, radius: int, blocks: int, cell: int, tile: int, report: bool) -> DataFrame:
+    dealt = cells(fps, radius, blocks, cell).repartition("cell").sortWithinPartitions("cell", F.bit_count("fp"), "fp")
 
     def run(batches):
-        def out(found):
-            a, b = (np.concatenate([x[k] for x in found]) for k in (0, 1))
-            return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
-
-        held = None  # the last group may go on in the next batch; a cell has two tiles at most
-        for batch in batches:
-            cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("mask", "key", "i", "j", "fp")]
-            held = cols if held is None else [np.concatenate(x) for x in zip(held, cols, strict=True)]
-            if not len(held[0]):
-                continue
-            new = np.flatnonzero(np.any([x[1:] != x[:-1] for x in held[:4]], axis=0)) + 1
+        def out(parts):
+            done = [compare_tiles(x[np.append(True, x[1:] != x[:-1])], radius, tile) for x in parts]
+            if report:
+                cols = [pa.array([d[k] for d in done], pa.int64()) for k in (1, 2)]
+                yield pa.RecordBatch.from_arrays(cols, ["compared", "skipped"])
+            elif found := [x for d in done for x in d[0]]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in found]).view(np.int64)) for k in (0, 1)], ["a", "b"])
+
+        at, fp = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)  # the last cell may go on in the next batch
+        for b in batches:
+            at = np.concatenate([at, b.column("cell").to_numpy()])
+            fp = np.concatenate([fp, b.column("fp").to_numpy().view(np.uint64)])
+            new = np.flatnonzero(at[1:] != at[:-1]) + 1
             if len(new):
-                starts, end = np.concatenate([[0], new[:-1]]), new[-1]
-                if found := compare_groups(starts, held[4][:end].view(np.uint64), radius, tile):
-                    yield out(found)
-                held = [x[end:] for x in held]
-        if held is not None and len(held[0]) and (found := compare_groups(np.array([0]), held[4].view(np.uint64), radius, tile)):
-            yield out(found)
+                yield from out(np.split(fp[: new[-1]], new[:-1]))
+                at, fp = at[new[-1] :], fp[new[-1] :]
+        if len(fp):
+            yield from out([fp])
+
+    return dealt.mapInArrow(run, "compared long, skipped long" if report else "a long, b long")
+
+
+def links(fps: DataFrame, radius: int = 3, blocks: int = 5, cell: int = CELL, tile: int = TILE) -> DataFrame:
+    """Columns a, b: links among the distinct values of ``fps.fp`` (a written table) that join all that any link joins.
+
+    An empty table gives no links.
+    """
+    return _compared(fps, radius, blocks, cell, tile, False).distinct()
+
 
-    return cells.mapInArrow(run, "a long, b long").distinct()
+def tile_pairs(fps: DataFrame, radius: int = 3, blocks: int = 5, cell: int = CELL, tile: int = TILE) -> DataFrame:
+    """One row: how many tile pairs :func:`links` compares, and how many it skips by their population counts."""
+    return _compared(fps, radius, blocks, cell, tile, True).agg(F.coalesce(F.sum("compared"), F.lit(0)).alias("compared"), F.coalesce(F.sum("skipped"), F.lit(0)).alias("skipped"))
 
 
 def contract(edges: DataFrame) -> DataFrame:
@@ -188,13 +198,13 @@ def contract(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
-def components(rows: DataFrame, id_col: str = "doc_id", radius: int = 3, blocks: int = 5, tile: int = 1024) -> DataFrame:
+def components(rows: DataFrame, id_col: str = "doc_id", radius: int = 3, blocks: int = 5) -> DataFrame:
     """Columns fp, component_id for each distinct fp of a written table: the smallest id that links reach.
 
     Null ids count only where a component has no other; its component_id is then null.
     """
     firsts = written(rows.groupBy("fp").agg(F.min(id_col).alias("first_id")), "simhash-firsts")
-    member = contract(links(firsts.select("fp"), radius, blocks, tile))
+    member = contract(links(firsts.select("fp"), radius, blocks))
     rooted = firsts.join(member.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     return written(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "simhash-classes")
@@ -203,8 +213,9 @@ def components(rows: DataFrame, id_col: str = "doc_id", radius: int = 3, blocks:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
     """One row for each row of ``docs``: its id, ``fp`` and ``component_id``.
 
-    Repeated rows and equal texts share a fingerprint and so a component; other columns are ignored. An empty table
-    gives no rows.
+    Repeated rows and equal texts share a fingerprint and so a component. Null, empty and blank texts have fingerprint 0,
+    which links like any other. A text of any length counts whole, its shingles in parts of CHUNK at a time. Rows with a null id
+    take part; other columns are ignored. An empty table gives no rows.
     """
     rows = written(fingerprints(docs, text_col, {id_col: F.col(id_col)}, words), "simhash-rows")
     return rows.join(components(rows, id_col, radius), "fp").select(id_col, "fp", "component_id")

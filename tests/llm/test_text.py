@@ -373,14 +373,14 @@ def test_simhash_query(spark, data, rows):
         assert (got[i].fingerprint, got[i].component_id) == (f"{f:016x}", c)
 
 
-@pytest.mark.parametrize("tile", [8, 1024])
-def test_links_of_dense_groups(spark, tile):
-    """A hot group: hundreds of fingerprints around one centre, in tiles small enough that they are dealt over cells."""
+@pytest.mark.parametrize("cell", [16, 2048])
+def test_links_of_dense_groups(spark, cell):
+    """A hot group: hundreds of fingerprints around one centre, in cells small enough that it is dealt over many."""
     r = random.Random(4)
     centre, far = r.getrandbits(64), [r.getrandbits(64) for _ in range(60)]
     fps = list({centre ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 4))) for _ in range(250)} | set(far))
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
-    found = simhash.contract(simhash.links(spark.createDataFrame([(s,) for s in signed], "fp long"), tile=tile)).collect()
+    found = simhash.contract(simhash.links(spark.createDataFrame([(s,) for s in signed], "fp long"), cell=cell, tile=8)).collect()
     root = {x.node: x.root for x in found}
     groups = defaultdict(set)
     for s, f in zip(signed, fps, strict=True):
@@ -391,6 +391,24 @@ def test_links_of_dense_groups(spark, tile):
     assert sorted(map(sorted, groups.values())) == sorted(map(sorted, truth.values()))
 
 
+def test_tiles_are_compared_and_skipped(spark):
+    """On the main path, with the query's own parameters; and no skipped pair of tiles has a link."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    fps = simhash.fingerprints(docs, "text", {"doc_id": functions.col("doc_id")}).select("fp").distinct().cache()
+    done = simhash.tile_pairs(fps).first()
+    assert done.compared > 0 and done.skipped > 0
+    assert tuple(simhash.tile_pairs(fps.filter("false")).first()) == (0, 0)
+    fp = np.array([r.fp for r in fps.collect()], dtype=np.int64).view(np.uint64)
+    fp = fp[np.lexsort((fp, np.bitwise_count(fp)))]
+    found, compared, skipped = simhash.compare_tiles(fp, 3, 32)
+    assert compared and skipped
+    plain = {(i, j) for i in range(len(fp)) for j in (np.flatnonzero(np.bitwise_count(fp[i] ^ fp[i + 1 :]) <= 3) + i + 1).tolist()}
+    label = simhash._propagate(len(fp), *(np.array([p[k] for p in sorted(plain)], dtype=np.int64) for k in (0, 1)))
+    place = {int(f): k for k, f in enumerate(fp)}
+    mine = simhash._propagate(len(fp), *(np.array([place[int(v)] for x in found for v in x[k]], dtype=np.int64) for k in (0, 1)))
+    assert np.array_equal(label, mine)
+
+
 def test_contract_long_chain(spark):
     n = 60
     chain = spark.createDataFrame([(k, k + 1) for k in range(n)], "a long, b long")
