@@ -9,10 +9,12 @@ one keeps something below it, so an ancestor and a descendant never contradict e
 
 from __future__ import annotations
 
+import bisect
 import functools
 import html
 import random
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,9 @@ from pyspark.sql import functions as F
 from strandline.llm.common import slices, table
 from strandline.llm.trees import Boosted
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+OPENING = re.compile(r"<(?:[!?]|(/?)([a-zA-Z][^\s/>]*))")
+#: Within a tag: its end, or the quote that begins a value.
+INSIDE = re.compile(r"""[>]|=\s*(["'])""")
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 TOKEN = re.compile(r"[a-z]+")
 #: Fixed by HTML: elements without content, those whose content is no page text, blocks, and what a block's start tag closes.
@@ -50,11 +54,44 @@ class Node:
         self.last = 0  # end of its subtree in document order
 
 
+def tags(source: str) -> Iterator[tuple[int, int, str, str, str]]:
+    """(start, end, "/" or "", lower-case name, attributes) of each tag, and of comments and the like with an empty name.
+
+    One pass: no part is looked at more than twice, whatever the page holds. A tag or comment that the page's end cuts off goes
+    to the end. Once a quoted value has no end before the page's, quotes no longer count. A tag's name is its first letters
+    up to a blank, a slash or the end. What the caller sends back is where to go on.
+    """
+    at, quotes = 0, True
+    while m := OPENING.search(source, at):
+        if m[2] is None:
+            comment = source.startswith("<!--", m.start())
+            end = source.find("-->" if comment else ">", m.end())
+            end = len(source) if end < 0 else end + (3 if comment else 1)
+            at = (yield m.start(), end, "", "", "") or end
+            continue
+        k, end = m.end(), -1
+        while quotes and (x := INSIDE.search(source, k)):
+            if not x[1]:
+                end = x.start()
+                break
+            if (k := source.find(x[1], x.end()) + 1) == 0:
+                break
+        if end < 0:
+            quotes = False
+            end = source.find(">", m.end())
+        if end < 0:
+            at = (yield m.start(), len(source), "", "", "") or len(source)
+        else:
+            at = (yield m.start(), end + 1, m[1], m[2].lower(), source[m.end() : end]) or end + 1
+
+
 def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
-    """Nodes in document order, 0 the root, and the text runs as (node, decoded text)."""
+    """Nodes in document order, 0 the root, and the text runs as (node, decoded text). Time is linear in the page's length."""
     nodes = [Node("#root", -1, 0, frozenset())]
     runs: list[tuple[int, str]] = []
-    stack, hidden, at = [0], 0, 0
+    stack, hidden, done = [0], 0, 0
+    where: dict[str, list[int]] = {}  # places in the stack, by tag
+    open_blocks: list[int] = []
 
     def text(piece: str) -> None:
         if piece and not hidden:
@@ -62,27 +99,32 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
 
     def close(k: int) -> None:
         nonlocal hidden
-        for x in stack[k:]:
+        for x in reversed(stack[max(k, 1) :]):
+            tag = nodes[x].tag
             nodes[x].last = len(nodes)
-            hidden -= nodes[x].tag in HIDDEN
-        del stack[k:]
-
-    while m := TAG.search(source, at):
-        text(source[at : m.start()])
-        at = m.end()
-        end, name, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+            hidden -= tag in HIDDEN
+            where[tag].pop()
+            if tag in BLOCK:
+                open_blocks.pop()
+        del stack[max(k, 1) :]
+
+    scan, go = tags(source), None
+    while True:
+        try:
+            start, end, slash, name, attributes = scan.send(go)
+        except StopIteration:
+            break
+        text(source[done:start])
+        done, go = end, None
         if not name:
             continue
-        name = name.lower()
-        if end:
-            for k in range(len(stack) - 1, 0, -1):
-                if nodes[stack[k]].tag == name:
-                    close(k)
-                    break
+        if slash:
+            if where.get(name):
+                close(where[name][-1])
             continue
         if name in RAW:
-            shut = re.compile(rf"</{re.escape(name)}\s*/?>", re.I).search(source, at)
-            at = shut.end() if shut else len(source)
+            shut = re.compile(rf"</{re.escape(name)}\s*/?>", re.I).search(source, end)
+            done = go = shut.end() if shut else len(source)
             continue
         if name in VOID:
             if name in ("br", "hr", "img"):
@@ -90,35 +132,30 @@ def parse(source: str) -> tuple[list[Node], list[tuple[int, str]]]:
             continue
         if name in CLOSES:
             shuts, until = CLOSES[name]
-            for k in range(len(stack) - 1, 0, -1):
-                tag = nodes[stack[k]].tag
-                if tag in until:
-                    break
-                if tag in shuts:
-                    close(k)
-        if name in BLOCK:  # an open paragraph ends here
-            for k in range(len(stack) - 1, 0, -1):
-                tag = nodes[stack[k]].tag
-                if tag == "p" or tag in HEADINGS and name in HEADINGS:
-                    close(k)
-                    break
-                if tag in BLOCK:
-                    break
-        if name == "body" and (hidden or any(nodes[k].tag == "body" for k in stack)):
-            close(next((k for k in range(1, len(stack)) if nodes[stack[k]].tag == "head"), len(stack)))
-        tokens = frozenset(t for a in ATTRIBUTE.findall(attributes) for t in TOKEN.findall(a[1].lower())) if attributes and "=" in attributes else frozenset()
+            low = max((where[t][-1] for t in until if where.get(t)), default=0)
+            if (k := min((p[bisect.bisect_right(p, low)] for t in shuts if (p := where.get(t)) and p[-1] > low), default=0)) > 0:
+                close(k)
+        if name in BLOCK and open_blocks:  # an open paragraph or heading ends here
+            tag = nodes[stack[open_blocks[-1]]].tag
+            if tag == "p" or tag in HEADINGS and name in HEADINGS:
+                close(open_blocks[-1])
+        if name == "body" and (hidden or where.get("body")):
+            close(where["head"][0] if where.get("head") else len(stack))
+        tokens = frozenset(t for a in ATTRIBUTE.findall(attributes) for t in TOKEN.findall(a[1].lower())) if "=" in attributes else frozenset()
         nodes.append(Node(name, stack[-1], len(stack), tokens))
         nodes[stack[-1]].children.append(len(nodes) - 1)
-        hidden += name in HIDDEN
-        if not attributes.endswith("/") or name in BLOCK:
-            stack.append(len(nodes) - 1)
-        else:
+        if attributes.endswith("/") and name not in BLOCK:
             nodes[-1].last = len(nodes)
-            hidden -= name in HIDDEN
-    tail = source[at:]
-    cut = re.search(r"<[a-zA-Z/!?]", tail)  # a tag that the end of the page cuts off
-    text(tail[: cut.start()] if cut else tail)
-    close(0)
+            continue
+        hidden += name in HIDDEN
+        where.setdefault(name, []).append(len(stack))
+        if name in BLOCK:
+            open_blocks.append(len(stack))
+        stack.append(len(nodes) - 1)
+    tail = source[done:]
+    text(tail[:-2] if tail.endswith("</") else tail)
+    close(1)
+    nodes[0].last = len(nodes)
     return nodes, runs
 
 
@@ -146,7 +183,7 @@ TAG_KIND = {
 N_TAGS, N_KINDS = max(TAG_KIND.values()) + 2, len(KINDS)
 #: Tags that by themselves say that all below is, or isn't, the article; inherited like token kinds.
 TAG_TOKENS = {"article": 0, "main": 0, "nav": 1, "menu": 1, "header": 2, "footer": 2, "aside": 3, "form": 6, "dialog": 5}
-MARKS = re.compile(r"[.!?,;:]")
+MARKS = ".!?,;:"
 
 
 def features(nodes: list[Node], runs: list[tuple[int, str]]) -> np.ndarray:
@@ -155,15 +192,15 @@ def features(nodes: list[Node], runs: list[tuple[int, str]]) -> np.ndarray:
     parent = np.array([x.parent for x in nodes])
     last = np.array([x.last for x in nodes])
     own, links, marks, words = (np.zeros(n + 1) for _ in range(4))
+    linked = [False] * n
+    for k, x in enumerate(nodes):
+        linked[k] = x.tag == "a" or k > 0 and linked[x.parent]
     for k, t in runs:
         size = len(t.strip())
         own[k + 1] += size
         words[k + 1] += t.count(" ") + 1 if size else 0
-        marks[k + 1] += len(MARKS.findall(t)) if size < 400 else t.count(".") + t.count(",")
-        x = k
-        while x >= 0 and nodes[x].tag != "a":
-            x = nodes[x].parent
-        if x >= 0:
+        marks[k + 1] += sum(map(t.count, MARKS))
+        if linked[k]:
             links[k + 1] += size
     tag = np.array([TAG_KIND.get(x.tag, N_TAGS - 1) for x in nodes])
     sums = []
@@ -178,19 +215,25 @@ def features(nodes: list[Node], runs: list[tuple[int, str]]) -> np.ndarray:
                 kinds[k, kind] = 1
         if x.tag in TAG_TOKENS:
             kinds[k, TAG_TOKENS[x.tag]] = 1
-    above = np.zeros((n, N_KINDS))
-    place, siblings, alike, near = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
+    above, telling = np.zeros((n, N_KINDS)), kinds.any(1).tolist()
     for k, x in enumerate(nodes):
-        if k:
+        if k and telling[x.parent]:  # the parent or something above it has a kind
             above[k] = np.maximum(above[x.parent] * 0.999, kinds[x.parent])
-        if x.children:
-            c = np.array(x.children)
-            siblings[c] = len(c)
-            place[c] = np.arange(len(c)) / len(c)
-            alike[c] = (tag[c][:, None] == tag[c][None]).mean(1) if len(c) < 200 else 1
-            near[c] = text[c].max()
-    whole = max(text[0], 1.0)
+            telling[k] = True
     up = np.maximum(parent, 0)
+    siblings, place, alike, near = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
+    if n > 1:
+        of = parent[1:]
+        count = np.bincount(of, minlength=n)
+        siblings[1:] = count[of]
+        by = np.argsort(of, kind="stable")
+        place[by + 1] = np.arange(n - 1) - (np.cumsum(count) - count)[of[by]]
+        _, same, often = np.unique(of * N_TAGS + tag[1:], return_inverse=True, return_counts=True)
+        alike[1:] = often[same] / siblings[1:]
+        place[1:] /= siblings[1:]
+        np.maximum.at(near, of, text[1:])
+        near = np.where(np.arange(n) > 0, near[up], 0)
+    whole = max(text[0], 1.0)
     columns = [
         (tag[:, None] == np.arange(N_TAGS)), kinds, above, (tag[up][:, None] == np.arange(N_TAGS))[:, [0, 1, 2, 3, 7, 8, 9, 10, 11, 18]],
         np.stack([
@@ -242,13 +285,10 @@ def blocks(nodes: list[Node], runs: list[tuple[int, str]], keep: list[bool] | No
     """Text of the kept nodes by block: runs of one block with no other block between them, white space turned into single spaces."""
     out: list[str] = []
     last, held = -1, []
-    block_of: dict[int, int] = {}
-
-    def block(k: int) -> int:
-        x = k
-        while nodes[x].tag not in BLOCK and x:
-            x = nodes[x].parent
-        return x
+    block_of = list(range(len(nodes)))
+    for k, x in enumerate(nodes):
+        if k and x.tag not in BLOCK:
+            block_of[k] = block_of[x.parent]
 
     def flush() -> None:
         if held and (t := " ".join("".join(held).split())):
@@ -257,8 +297,6 @@ def blocks(nodes: list[Node], runs: list[tuple[int, str]], keep: list[bool] | No
 
     seen = 0
     for k, t in runs:
-        if k not in block_of:
-            block_of[k] = block(k)
         b = block_of[k]
         crossed = any(nodes[x].tag in BLOCK for x in range(seen + 1, k + 1)) if k > seen else False
         if b != last or crossed:
@@ -270,17 +308,25 @@ def blocks(nodes: list[Node], runs: list[tuple[int, str]], keep: list[bool] | No
     return out
 
 
-def extract(sources: list[str], model: Boosted, part: int = 64) -> list[str]:
-    """The main text of each page."""
-    out = []
-    for k in range(0, len(sources), part):
-        parsed = [parse(s) for s in sources[k : k + part]]
-        x = [features(*p) for p in parsed]
-        odds = model.score(np.concatenate(x)) if x else np.zeros(0)
-        at = 0
-        for (nodes, runs), rows in zip(parsed, x, strict=True):
-            out.append("\n".join(blocks(nodes, runs, decode(nodes, runs, odds[at : at + len(rows)]))))
-            at += len(rows)
+def extract(sources: list[str], model: Boosted, part: int = 8192) -> list[str]:
+    """The main text of each page; pages are scored together until they have ``part`` nodes."""
+    out, held, size = [], [], 0
+
+    def flush() -> None:
+        odds, at = model.score(np.concatenate([x for _, _, x in held])) if held else [], 0
+        for nodes, runs, x in held:
+            out.append("\n".join(blocks(nodes, runs, decode(nodes, runs, odds[at : at + len(x)]))))
+            at += len(x)
+        held.clear()
+
+    for s in sources:
+        nodes, runs = parse(s)
+        held.append((nodes, runs, features(nodes, runs)))
+        size += len(nodes)
+        if size >= part:
+            flush()
+            size = 0
+    flush()
     return out
 
 
@@ -292,8 +338,9 @@ class Maker:
 
     MARK = "\ue000"
 
-    def __init__(self, seed: int):
-        self.r = random.Random(seed)
+    def __init__(self, seed: int, part: int | None = 0):
+        """``part``: of each kind's names every second one, from the first (0, for training) or the second (1); None: names that no list knows."""
+        self.r, self.part = random.Random(seed), part
         letters = self.r.choice(["etaoinshrdlu", "easrnidtulocé", "enisratdhuößä", "кноаиетсрв", "aeiounrstlk"])
         self.words = ["".join(self.r.choices(letters, k=self.r.randint(1, 10))) for _ in range(300)]
 
@@ -310,7 +357,7 @@ class Maker:
         """An element of a kind; some have no telling attribute, or one that no list knows."""
         attribute = ""
         if self.r.random() > bare and kind:
-            token = self.r.choice(KINDS[kind].split())
+            token = self.r.choice(KINDS[kind].split()[self.part :: 2]) if self.part is not None else "x" + self.r.choice("bcdfgk") * 4
             extra = self.r.choice(["", "", " box", "-wrapper", " clearfix", "-1", " col-md-8"])
             attribute = f' {self.r.choice(["class", "class", "id"])}="{token}{extra}"'
         elif self.r.random() < 0.3:
@@ -379,6 +426,7 @@ class Maker:
             lambda: self.tag("nav", "menu", self.links(2, 12)),
             lambda: self.tag("div", "menu", self.links(2, 12), 0.1),
             lambda: self.tag("div", "edge", self.phrase(1, 6) + self.links(1, 5), 0.0),
+            lambda: self.tag("div", r.choice(["advert", "notice"]), self.prose(1, 30), 0.0),
             self.aside,
             self.aside,
         ]
@@ -414,22 +462,23 @@ class Maker:
 
 
 @functools.lru_cache(maxsize=2)
-def train(pages: int = 900, seed: int = 5) -> Boosted:
-    """From generated pages only; the same for every corpus."""
-    made = [Maker(seed * 100_003 + k).labelled() for k in range(pages)]
+def train(pages: int = 900, seed: int = 5, trees: int = 90) -> Boosted:
+    """From generated pages only, a fifth of them with names that say nothing; the same for every corpus."""
+    made = [Maker(seed * 100_003 + k, None if k % 5 == 4 else 0).labelled() for k in range(pages)]
     x, y = [], []
     for nodes, runs, label in made:
         rows = features(nodes, runs)
         filled = np.expm1(rows[:, -15]) > 0.5  # log1p(text): nodes without text have no label
         x.append(rows[filled])
         y.append(label[filled])
-    return Boosted.fit(np.concatenate(x), np.concatenate(y))
+    return Boosted.fit(np.concatenate(x), np.concatenate(y), trees=trees)
 
 
 def main_texts(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", keep: tuple[str, ...] = (), model: Boosted | None = None) -> DataFrame:
     """One row for each page: id, the columns of ``keep``, ``text`` (the main text, empty if there is none) and ``n_chars``.
 
-    Null and empty pages have empty texts. Repeated rows stay; other columns are ignored. An empty table gives no rows.
+    Null and empty pages have empty texts. Pages of any length and nesting are read whole, in time linear in their length.
+    Repeated rows stay, with null ids as well; other columns are ignored. An empty table gives no rows.
     """
     model = model or train()
     rows = pages.select(F.col(id_col), *keep, F.coalesce(F.col(html_col), F.lit("")).alias("source of page"))
