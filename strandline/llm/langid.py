@@ -94,16 +94,8 @@ def windows(data: bytes) -> np.ndarray:
     return np.frombuffer(data.ljust(n * WINDOW, b"\0"), dtype=np.uint8).reshape(n, WINDOW)
 
 
-def cuts(data: bytes, most: int = 16) -> list[bytes]:
-    """For learning: all windows of a text, of a long one ``most`` at equal distances; so a sample's size is bounded in bytes as well."""
-    if len(data) <= WINDOW * most:
-        return [data[k : k + WINDOW] for k in range(0, max(1, len(data)), WINDOW)]
-    step = (len(data) - WINDOW) / (most - 1)
-    return [data[int(k * step) : int(k * step) + WINDOW] for k in range(most)]
-
-
 def train(texts: list[bytes], labels: list[str], steps: int = 600, batch: int = 96, seed: int = 7) -> Network:
-    """From cuts of random places and lengths, short ones included, so that short texts are like what it has seen."""
+    """From windows at random places of the whole texts, short ones included, so that short texts are like what it has seen."""
     classes = sorted(set(labels))
     net, rng = Network.new(classes, seed), np.random.default_rng(seed)
     y_all = np.array([classes.index(x) for x in labels])
@@ -161,26 +153,24 @@ def predict(texts: list[str | None], net: Network) -> tuple[list[str], np.ndarra
     return languages, scores
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_out: int = 2, per_language: int = 600) -> Network | None:
-    """From about ``per_language`` documents of each language at most and :func:`cuts` of them, none of the held-out fold; None where none is labelled."""
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("body"), F.col(lang_col).alias("lang"))
-    labelled = rows.filter(F.col("lang").isNotNull() & F.col("body").isNotNull() & (remainder("id", folds) != held_out))
-    sample = bounded(labelled, "lang", "id", per_language).select("lang", F.col("body").cast("binary").alias("body"))
-
-    def run(batches):
-        for b in slices(batches):
-            cut = [cuts(t) for t in b.column("body").to_pylist()]
-            at = pa.array(np.repeat(np.arange(b.num_rows), [len(c) for c in cut]), pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("lang").take(at), pa.array([x for c in cut for x in c], pa.binary())], ["lang", "cut"])
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", folds: int = 4, held_out: int = 2, per_language: int = 600, most_bytes: int = 64 << 20, longest: int = 1 << 20, most_languages: int = 200) -> Network | None:
+    """From ``per_language`` documents of each language at most, whole, none of the held-out fold; None where none is labelled.
 
-    found = sample.mapInArrow(run, "lang string, cut binary").orderBy("lang", "cut").collect()
-    return train([bytes(r.cut) for r in found], [r.lang for r in found]) if found else None
+    Documents of more than ``longest`` bytes aren't learned from, nor those beyond ``most_bytes`` in all, nor languages beyond
+    the ``most_languages`` most frequent (see :func:`nets.bounded`). Null and empty texts have nothing to learn from.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("body"), F.col(lang_col).alias("lang"))
+    labelled = rows.filter(F.col("lang").isNotNull() & (F.octet_length("body") > 0) & (remainder("id", folds) != held_out))
+    found = bounded(labelled, "lang", ["id", "body"], per_language, "body", most_bytes, longest, most_languages).select("lang", "body").collect()
+    found.sort(key=lambda r: (r.lang, bytes(r.body)))
+    return train([bytes(r.body) for r in found], [r.lang for r in found]) if found else None
 
 
 def identify(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id", text_col: str = "text", folds: int = 4, held_out: int = 2) -> DataFrame:
     """One row for each document: id, held_out, lang_pred and score.
 
     Null texts and those without a letter are UNKNOWN with score 0, as is every text where no row has a label to learn from.
+    A text of any length counts whole, window by window; of equally likely languages the first in order of names is taken.
     Repeated rows stay; other columns are ignored. An empty table gives no rows.
     """
     net = net or fit(docs, id_col, text_col)
@@ -196,7 +186,11 @@ def identify(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id"
 
 
 def keep(docs: DataFrame, net: Network | None = None, id_col: str = "doc_id", text_col: str = "text", least: float = 0.4) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of at least ``least``, with all their columns."""
+    """The rows of ``docs`` whose language is known with a score of at least ``least``, with all their columns.
+
+    Null texts and those without a letter go, and every row where none has a label to learn from. Repeated rows stay or go
+    together, whatever their other columns hold. An empty table gives no rows.
+    """
     net = net or fit(docs, id_col, text_col)
     at = docs.columns.index(text_col)
 

@@ -129,21 +129,18 @@ def _in_parts(texts: list[bytes], size: int = 1 << 18):
         yield at, len(texts)
 
 
-def spread(n: int, most: int) -> np.ndarray:
-    """All of n places, or ``most`` at equal distances."""
-    return np.arange(n) if n <= most else np.linspace(0, n - 1, most).astype(np.int64)
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 5, held_out: int = 0, per_class: int = 1500, most_bytes: int = 64 << 20, longest: int = 1 << 20) -> Network | None:
+    """From ``per_class`` labelled documents of either class at most, none of the held-out fold; every passage of each counts.
 
-
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", folds: int = 5, held_out: int = 0, per_class: int = 1500, passages: int = 64) -> Network | None:
-    """From about ``per_class`` labelled documents of either class at most, none of the held-out fold.
-
-    Passages are encoded where the documents are; of a longer document, ``passages`` at equal distances are learned from, so
-    what the driver gets is bounded. None without labels.
+    Documents of more than ``longest`` bytes aren't learned from, nor those beyond ``most_bytes`` in all (see
+    :func:`nets.bounded`); what is learned from is whole. Passages are encoded where the documents are. A document that is
+    labelled twice, differently, counts as either. Null ids have no label. None without labels.
     """
-    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).alias("label")).filter(F.col("label").isin(0, 1) & F.col("id").isNotNull() & (remainder("id", folds) != held_out))
-    sample = bounded(known, "label", "id", per_class).dropDuplicates(["id"])
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).filter(F.col("label").isin(0, 1) & F.col("id").isNotNull() & (remainder("id", folds) != held_out))
+    ids = bounded(known, "label", ["id"], per_class)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"))
-    rows = texts.join(F.broadcast(sample), "id").select("label", "id", "body")  # the sample's size is bounded
+    # the sampled ids have a fixed bound; rows with one id may be many, so they are bounded once more
+    rows = bounded(texts.join(F.broadcast(ids), "id"), "label", ["id", "body"], per_class, "body", most_bytes, longest).select("label", "id", "body")
 
     def run(batches):
         for b in batches:
@@ -151,7 +148,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             for lo, hi in _in_parts(body):
                 x, counts = features(body[lo:hi])
                 x, ends = x.astype(np.float16), np.cumsum(counts)
-                data = [x[e - n : e][spread(n, passages)].tobytes() for n, e in zip(counts, ends, strict=True)]
+                data = [x[e - n : e].tobytes() for n, e in zip(counts, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([b.column("label").slice(lo, hi - lo), b.column("id").slice(lo, hi - lo), pa.array(data, pa.binary())], ["label", "id", "x"])
 
     found = rows.mapInArrow(run, rows.select("label", "id", F.lit(b"").alias("x")).schema).collect()
@@ -165,8 +162,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def classify(docs: DataFrame, labels: DataFrame | None = None, net: Network | None = None, id_col: str = "doc_id", text_col: str = "text", folds: int = 5, held_out: int = 0, least: float = 0.3) -> DataFrame:
     """One row for each document: id, held_out, score and predicted (1 where the score is ``least`` or more).
 
-    Null and empty texts are one empty passage and get its score; without any label all scores are 0.5. Repeated rows stay,
-    a document with several labels counts once in learning, other columns are ignored. An empty table gives no rows.
+    Null and empty texts are one empty passage and get its score; without any label all scores are 0.5. A text of any length is
+    scored by all its passages. Repeated rows stay, equal texts get equal scores, other columns are ignored. An empty table
+    gives no rows.
     """
     net = net or (fit(docs, labels, id_col, text_col, folds=folds, held_out=held_out) if labels is not None else None)
     rows = docs.select(F.col(id_col).alias("id"), (remainder(id_col, folds) == held_out).alias("held_out"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"))

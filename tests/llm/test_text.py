@@ -20,7 +20,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions
 from tokenizers import Tokenizer
 
-from strandline.llm import bpe, html, langid, mil, packing, rules, similar, simhash, trees
+from strandline.llm import bpe, html, langid, mil, nets, packing, rules, similar, simhash, trees
 from strandline.llm.queries import queries
 
 JSON, RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -298,6 +298,51 @@ def test_mil_odd_rows(spark):
     assert mil.classify(empty(docs), labels).count() == 0
 
 
+def test_samples_are_bounded(spark):
+    """A million rows without an id, one row and one id a hundred thousand times, long values, more classes than wanted."""
+    c = functions.col
+    many = spark.range(1_000_000).select(functions.lit(None).cast("long").alias("id"), functions.concat(functions.lit("text "), c("id") % 5000).cast("binary").alias("body"), functions.lit("a").alias("k"))
+    same = spark.range(100_000).select(functions.lit(7).cast("long").alias("id"), functions.lit("the same").cast("binary").alias("body"), functions.lit("b").alias("k"))
+    own = spark.range(100_000).select(functions.lit(8).cast("long").alias("id"), c("id").cast("string").cast("binary").alias("body"), functions.lit("c").alias("k"))
+    rare = spark.createDataFrame([(1, b"x" * 5000, "d"), (2, b"yes", "d"), (None, None, None), (3, b"", "e")], "id long, body binary, k string")
+    rows = many.union(same).union(own).union(rare)
+    got = nets.bounded(rows.filter("body is not null"), "k", ["id", "body"], 300, "body", most_bytes=20_000, longest=4000, most_classes=4).collect()
+    n = Counter(r.k for r in got)
+    assert n["b"] == 1 and n["d"] == 1 and n["e"] == 0 and 250 <= n["a"] <= 300 and 250 <= n["c"] <= 300
+    assert all(sum(len(r.body) for r in got if r.k == k) <= 5000 for k in n)
+    assert len({(r.id, bytes(r.body), r.k) for r in got}) == len(got)
+    assert Counter(r.k for r in nets.bounded(rows, "k", ["id"], 10).collect()) == {"a": 1, "b": 1, "c": 1, "d": 2, "e": 1, None: 1}
+    assert nets.bounded(rows.filter("false"), "k", ["id", "body"], 300, "body").collect() == []
+
+
+def test_mil_learns_from_repeated_ids(spark):
+    docs = spark.range(20_000).select((functions.col("id") % 3).alias("doc_id"), functions.concat(functions.lit("text "), "id").alias("text"))
+    labels = with_clashes(spark.createDataFrame([(k % 3, k % 2) for k in range(500)] + [(None, 1)], "doc_id long, quality int"))
+    net = mil.fit(docs, labels, per_class=50)
+    assert net is not None and all(0 <= r.score <= 1 for r in mil.classify(docs, net=net).limit(5).collect())
+
+
+def test_langid_score_is_the_mean_by_length():
+    """Of a text's windows, each scored alone by the plain network."""
+    texts = ["the and of " * 40, "être où " * 90 + "x", "y", None, "123 456", "ß" * 200]
+    net = langid.train([b"the and of it is " * 60, "être où déjà été ".encode() * 60], ["en", "fr"], steps=60)
+    got, score = langid.predict(texts, net)
+    p = net.params
+    for t, language, s in zip(texts, got, score, strict=True):
+        if not t or not any(map(str.isalpha, t)):
+            assert (language, s) == ("und", 0)
+            continue
+        data, total, size = t.encode(), np.zeros(2), 0
+        for at in range(0, len(data), langid.WINDOW):
+            part = data[at : at + langid.WINDOW]
+            x = np.frombuffer(part.ljust(langid.WINDOW, b"\0"), dtype=np.uint8)
+            tops = np.max([sum(p["e"][x[i + r]] @ p["w"][r] for r in range(langid.REACH)) for i in range(langid.WINDOW - langid.REACH + 1)], axis=0)
+            z = np.maximum(tops + p["b"], 0) @ p["d"] + p["c"]
+            total += np.exp(z) / np.exp(z).sum() * len(part)
+            size += len(part)
+        assert language == ["en", "fr"][int(total.argmax())] and s == pytest.approx(total.max() / size, abs=1e-4)
+
+
 def test_mil_features_see_the_whole_text():
     x, counts = mil.features([b"", b"a" * 513])
     assert counts.tolist() == [1, 2] and x.shape == (3, mil.FEATURES)
