@@ -1,8 +1,9 @@
 """TIFF columns: image directories walked, strips and tiles decoded, one row for each page.
 
 Baseline TIFF in either byte order: strips or tiles; no compression, PackBits, LZW (most significant bit first,
-early change) or deflate; horizontal predictor; chunky or planar samples of 8 or 16 bits. A writer for the same
-forms stands beside the reader.
+early change) or deflate; horizontal and floating-point predictors; chunky or planar samples of 1, 2, 4, 8, 16, 32 or
+64 bits, integers or floating-point numbers. A writer for the same forms stands beside the reader. Files aren't trusted: tags
+are checked before memory is taken, a page takes no more than its bytes can hold, and what can't be read is an error.
 """
 
 from __future__ import annotations
@@ -22,14 +23,22 @@ from strandline.llm.common import slices, table
 NONE, LZW, DEFLATE, PACKBITS = 1, 5, 8, 32773
 #: Fixed by the format: tags by number, and bytes of each field type.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, OFFSETS, CHANNELS, ROWS, COUNTS, PLANAR, PREDICTOR = 256, 257, 258, 259, 262, 273, 277, 278, 279, 284, 317
-TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS = 322, 323, 324, 325
+TILE_WIDTH, TILE_HEIGHT, TILE_OFFSETS, TILE_COUNTS, SAMPLE_FORMAT = 322, 323, 324, 325, 339
 TYPE_BYTES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 
 
+#: Fixed by the formats: how many bytes one byte can stand for at most.
+MOST = {NONE: 1, PACKBITS: 64, LZW: 2560, DEFLATE: 1032, 32946: 1032}
+
+
 class TiffError(ValueError):
     pass
 
 
+#: What damaged bytes can lead to; each is a row with ``error``.
+DAMAGE = (TiffError, ArithmeticError, IndexError, ValueError, MemoryError, struct.error)
+
+
 # -- decoding of one strip or tile -------------------------------------------------------------------
 
 
@@ -154,9 +163,14 @@ def expand(data: bytes, compression: int, size: int) -> bytes:
         out = unlzw(data, size)
     elif compression in (DEFLATE, 32946):
         try:
-            out = zlib.decompressobj().decompress(data, size)
+            d = zlib.decompressobj()
+            out = d.decompress(data, size)
+            while not d.eof and (d.decompress(d.unconsumed_tail, 1 << 16) or d.unconsumed_tail):
+                pass  # the checksum stands at the end
         except zlib.error as e:
             raise TiffError(f"deflate: {e}") from e
+        if not d.eof:
+            raise TiffError("deflate: the data end early")
     else:
         raise TiffError(f"compression {compression} isn't known")
     if len(out) < size:
@@ -169,11 +183,12 @@ def expand(data: bytes, compression: int, size: int) -> bytes:
 
 @dataclass
 class Page:
-    """samples: height x width x channels."""
+    """samples: height x width x channels; those of less than 8 bits are a byte each, ``bits`` says how many count."""
 
     samples: np.ndarray
     compression: int
     predictor: int
+    bits: int
 
 
 def directories(data: bytes) -> Iterator[tuple[str, dict[int, tuple]]]:
@@ -203,33 +218,74 @@ def directories(data: bytes) -> Iterator[tuple[str, dict[int, tuple]]]:
         yield order, tags
 
 
-def decode_page(data: bytes, order: str, tags: dict[int, tuple]) -> Page:
-    try:
-        width, height = tags[WIDTH][0], tags[HEIGHT][0]
-        channels, planar, predictor = (tags.get(t, (1,))[0] for t in (CHANNELS, PLANAR, PREDICTOR))
-        compression, bits = tags.get(COMPRESSION, (1,))[0], tags.get(BITS, (1,))[0]
-        tiled = TILE_OFFSETS in tags
-        box = (tags[TILE_HEIGHT][0], tags[TILE_WIDTH][0]) if tiled else (min(tags.get(ROWS, (height,))[0], height), width)
-        offsets, counts = (tags[TILE_OFFSETS], tags[TILE_COUNTS]) if tiled else (tags[OFFSETS], tags[COUNTS])
-    except KeyError as e:
-        raise TiffError(f"tag {e} is missing") from e
-    if bits not in (8, 16) or len(set(tags.get(BITS, (1,)))) > 1 or predictor not in (1, 2) or not all((*box, width, height)):
-        raise TiffError(f"{bits} bits with predictor {predictor} aren't read")
-    kind = np.dtype("u1" if bits == 8 else f"{order}u2")
+def _plan(tags: dict[int, tuple]) -> tuple:
+    """What a page's tags say, checked: every number is there, positive and within what the format and the bytes allow."""
+
+    def one(tag: int, default: int | None = None) -> int:
+        found = tags.get(tag) or (default,)
+        if found[0] is None:
+            raise TiffError(f"tag {tag} is missing")
+        return found[0]
+
+    width, height, channels, planar, predictor, compression = one(WIDTH), one(HEIGHT), one(CHANNELS, 1), one(PLANAR, 1), one(PREDICTOR, 1), one(COMPRESSION, 1)
+    bits, form, tiled = one(BITS, 1), one(SAMPLE_FORMAT, 1), TILE_OFFSETS in tags
+    box = (one(TILE_HEIGHT), one(TILE_WIDTH)) if tiled else (min(one(ROWS, height), height), width)
+    offsets, counts = (tags.get(t) or () for t in ((TILE_OFFSETS, TILE_COUNTS) if tiled else (OFFSETS, COUNTS)))
+    if not all((width, height, channels, *box)) or planar not in (1, 2):
+        raise TiffError("a size is zero")
+    if form == 4:
+        form = 1
+    kind = {1: "u", 2: "i", 3: "f"}.get(form)
+    if kind is None or len(set(tags.get(BITS) or (1,))) > 1 or bits not in ((1, 2, 4, 8, 16, 32, 64) if kind == "u" else (8, 16, 32, 64) if kind == "i" else (16, 32, 64)):
+        raise TiffError(f"samples of {bits} bits and format {form} aren't read")
+    if predictor not in (1, 2, 3) or predictor == 2 and (bits < 8 or kind == "f") or predictor == 3 and kind != "f":
+        raise TiffError(f"predictor {predictor} isn't read with samples of {bits} bits and format {form}")
+    if compression not in MOST:
+        raise TiffError(f"compression {compression} isn't known")
     down, across, each = -(-height // box[0]), -(-width // box[1]), 1 if planar == 2 else channels
-    if min(len(offsets), len(counts)) < down * across * (channels if planar == 2 else 1):
+    segments = down * across * (channels // each)
+    if min(len(offsets), len(counts)) < segments:
         raise TiffError("segments are missing")
-    samples = np.empty((height, width, channels), dtype=kind.newbyteorder("="))
-    for k, (at, n) in enumerate(zip(offsets[: down * across * (channels // each)], counts, strict=False)):
-        plane, cell = divmod(k, down * across)
-        top, left = cell // across * box[0], cell % across * box[1]
-        rows = box[0] if tiled else min(box[0], height - top)
-        got = np.frombuffer(expand(data[at : at + n], compression, rows * box[1] * each * kind.itemsize), dtype=kind).reshape(rows, box[1], each)
-        if predictor == 2:
-            got = np.cumsum(got, axis=1, dtype=kind.newbyteorder("="))
-        part = got[: height - top, : width - left]
-        samples[top : top + part.shape[0], left : left + part.shape[1], plane : plane + each if planar == 2 else channels] = part
-    return Page(samples, compression, predictor)
+    line = -(-box[1] * each * bits // 8)
+    if (box[0] if tiled else 1) * line * segments > MOST[compression] * sum(counts[:segments]) or height * -(-width * each * bits // 8) * (channels // each) > MOST[compression] * sum(counts[:segments]):
+        raise TiffError("the segments can't hold the page")
+    return width, height, channels, planar, predictor, compression, bits, kind, tiled, box, offsets[:segments], counts[:segments], down, across, each, line
+
+
+def _unpredicted(raw: bytes, order: str, rows: int, across: int, each: int, bits: int, kind: str, predictor: int) -> np.ndarray:
+    """Samples (rows x across x each) of a strip or tile."""
+    if bits < 8:
+        whole = np.unpackbits(np.frombuffer(raw, dtype=np.uint8).reshape(rows, -1), axis=1)
+        whole = whole[:, : across * each * bits].reshape(rows, across, each, bits)
+        return (whole << np.arange(bits - 1, -1, -1, dtype=np.uint8)).sum(3, dtype=np.uint8)
+    size = bits // 8
+    if predictor == 3:  # bytes of a row by significance, then differences
+        data = np.frombuffer(raw, dtype=np.uint8).reshape(rows, size * across, each)
+        planes = np.cumsum(data, axis=1, dtype=np.uint8).reshape(rows, size, across * each)
+        return np.ascontiguousarray(planes.transpose(0, 2, 1)).view(f">f{size}").reshape(rows, across, each).astype(f"f{size}")
+    got = np.frombuffer(raw, dtype=f"{order}{kind}{size}").reshape(rows, across, each)
+    return np.cumsum(got, axis=1, dtype=got.dtype.newbyteorder("=")) if predictor == 2 else got
+
+
+def decode_page(data: bytes, order: str, tags: dict[int, tuple]) -> Page:
+    """Any damage is a :class:`TiffError`."""
+    try:
+        width, height, channels, planar, predictor, compression, bits, kind, tiled, box, offsets, counts, down, across, each, line = _plan(tags)
+        if sum(len(data[at : at + n]) for at, n in zip(offsets, counts, strict=True)) * MOST[compression] < height * -(-width * channels * bits // 8):
+            raise TiffError("the file can't hold the page")
+        samples = np.empty((height, width, channels), dtype=f"{kind}{max(1, bits // 8)}")
+        for k, (at, n) in enumerate(zip(offsets, counts, strict=True)):
+            plane, cell = divmod(k, down * across)
+            top, left = cell // across * box[0], cell % across * box[1]
+            rows = box[0] if tiled else min(box[0], height - top)
+            got = _unpredicted(expand(data[at : at + n], compression, rows * line), order, rows, box[1], each, bits, kind, predictor)
+            part = got[: height - top, : width - left]
+            samples[top : top + part.shape[0], left : left + part.shape[1], plane : plane + each if planar == 2 else channels] = part
+    except TiffError:
+        raise
+    except DAMAGE as e:
+        raise TiffError(f"{type(e).__name__}: {e}") from e
+    return Page(samples, compression, predictor, bits)
 
 
 def pages(data: bytes) -> Iterator[Page]:
@@ -240,15 +296,30 @@ def pages(data: bytes) -> Iterator[Page]:
 # -- writing ---------------------------------------------------------------------------------------------
 
 
-def encode(images: list[np.ndarray], compression: int = DEFLATE, predictor: int = 2, order: str = "<", box: tuple[int, int] | None = None, planar: bool = False, strip: int = 1 << 16) -> bytes:
-    """One directory for each image (height x width x channels, 8 or 16 bits); ``box``: tiles of (height, width), else strips of ``strip`` bytes."""
+def _predicted(part: np.ndarray, order: str, bits: int, predictor: int) -> bytes:
+    """The bytes of a strip or tile before it is compressed."""
+    rows, across, each = part.shape
+    if bits < 8:
+        whole = np.unpackbits(part.astype(np.uint8)[..., None], axis=3)[..., 8 - bits :]
+        return np.packbits(whole.reshape(rows, -1), axis=1).tobytes()
+    size = bits // 8
+    if predictor == 3:
+        planes = np.ascontiguousarray(part.astype(f">f{size}")).view(np.uint8).reshape(rows, across * each, size).transpose(0, 2, 1).reshape(rows, size * across, each)
+        return np.diff(planes, axis=1, prepend=np.zeros_like(planes[:, :1])).tobytes()
+    if predictor == 2:
+        part = np.diff(part, axis=1, prepend=np.zeros_like(part[:, :1]))
+    return part.astype(part.dtype.newbyteorder(order)).tobytes()
+
+
+def encode(images: list[np.ndarray], compression: int = DEFLATE, predictor: int = 2, order: str = "<", box: tuple[int, int] | None = None, planar: bool = False, strip: int = 1 << 16, bits: int | None = None) -> bytes:
+    """One directory for each image (height x width x channels); ``box``: tiles of (height, width), else strips of ``strip`` bytes; ``bits``: 1, 2 or 4 of each byte."""
     out = bytearray((b"II*\0" if order == "<" else b"MM\0*") + bytes(4))
     link = 4
     shrink = {NONE: bytes, PACKBITS: pack_bits, LZW: lzw, DEFLATE: lambda d: zlib.compress(d, 2)}[compression]
     for image in images:
         height, width, channels = image.shape
-        kind = np.dtype(f"{order}u{image.dtype.itemsize}")
-        rows, cols = box or (max(1, min(height, strip // max(1, width * channels * kind.itemsize))), width)
+        own = bits or 8 * image.dtype.itemsize
+        rows, cols = box or (max(1, min(height, strip * 8 // max(1, width * channels * own))), width)
         offsets, counts = [], []
         for plane in [image[:, :, c : c + 1] for c in range(channels)] if planar else [image]:
             for top in range(0, height, rows):
@@ -256,16 +327,16 @@ def encode(images: list[np.ndarray], compression: int = DEFLATE, predictor: int
                     part = plane[top : top + rows, left : left + cols]
                     if box and part.shape[:2] != box:
                         part = np.pad(part, ((0, rows - part.shape[0]), (0, cols - part.shape[1]), (0, 0)))
-                    if predictor == 2:
-                        part = np.diff(part, axis=1, prepend=np.zeros_like(part[:, :1]))
-                    data = shrink(part.astype(kind).tobytes())
+                    data = shrink(_predicted(part, order, own, predictor))
                     offsets.append(len(out))
                     counts.append(len(data))
                     out += data
         tags: dict[int, tuple[str, list[int]]] = {
-            WIDTH: ("I", [width]), HEIGHT: ("I", [height]), BITS: ("H", [8 * kind.itemsize] * channels), COMPRESSION: ("H", [compression]), PHOTOMETRIC: ("H", [2 if channels == 3 else 1]),
+            WIDTH: ("I", [width]), HEIGHT: ("I", [height]), BITS: ("H", [own] * channels), COMPRESSION: ("H", [compression]), PHOTOMETRIC: ("H", [2 if channels == 3 else 1]),
             CHANNELS: ("H", [channels]), PLANAR: ("H", [2 if planar else 1]), PREDICTOR: ("H", [predictor]),
         }
+        if image.dtype.kind != "u":
+            tags[SAMPLE_FORMAT] = ("H", [{"i": 2, "f": 3}[image.dtype.kind]])
         tags |= {TILE_WIDTH: ("I", [cols]), TILE_HEIGHT: ("I", [rows]), TILE_OFFSETS: ("I", offsets), TILE_COUNTS: ("I", counts)} if box else {OFFSETS: ("I", offsets), ROWS: ("I", [rows]), COUNTS: ("I", counts)}
         entries = b""
         for tag, (code, values) in sorted(tags.items()):
@@ -287,9 +358,9 @@ def encode(images: list[np.ndarray], compression: int = DEFLATE, predictor: int
 
 
 def feature(samples: np.ndarray) -> str:
-    """Shape, mean, deviation and entropy of a page's samples."""
-    flat = samples.reshape(-1)
-    n = np.bincount(flat if flat.dtype.itemsize == 1 else flat >> 8, minlength=256)
+    """Shape, and mean, deviation and entropy of the samples' most significant bytes."""
+    flat = samples.reshape(-1).view(f"u{samples.dtype.itemsize}")
+    n = np.bincount(flat if flat.dtype.itemsize == 1 else (flat >> (8 * flat.dtype.itemsize - 8)).astype(np.uint8), minlength=256)
     p = n / max(flat.size, 1)
     mean = float(p @ np.arange(256))
     spread = float(np.sqrt(max(0.0, p @ np.arange(256) ** 2 - mean**2)))
@@ -305,7 +376,8 @@ def read_pages(media: DataFrame, media_col: str = "media", keep: tuple[str, ...]
 
     A page that can't be decoded is a row with its number, ``error`` and nulls, and the pages after it go on. A null or unreadable
     file, and the rest of a file from a broken directory on, give one row with ``error`` and nulls.
-    Repeated rows stay; other columns are ignored, so their names can't clash.
+    Repeated rows stay; other columns are ignored, so their names can't clash. An empty table gives no rows. A file of any length
+    is held whole by its task, as are the pages of one file.
     """
     rows = media.select(*keep, F.col(media_col).alias("media to read"))
     schema = rows.drop("media to read").withColumns({k: F.lit(None).cast(t) for k, t in PAGE.items()}).schema
@@ -328,10 +400,10 @@ def read_pages(media: DataFrame, media_col: str = "media", keep: tuple[str, ...]
                             out.append((page, *[None] * 8, str(e)))
                             continue
                         h, w, c = p.samples.shape
-                        out.append((page, w, h, c, 8 * p.samples.dtype.itemsize, p.compression, p.predictor, p.samples.tobytes(), feature(p.samples), None))
+                        out.append((page, w, h, c, p.bits, p.compression, p.predictor, p.samples.tobytes(), feature(p.samples), None))
                     if page < 0:
                         raise TiffError("no page")
-                except TiffError as e:
+                except DAMAGE as e:
                     take.append(k)
                     out.append((None,) * 9 + (str(e),))
             cols = [some.column(i).take(pa.array(take, pa.int64())) for i in range(len(keep))]
@@ -343,7 +415,8 @@ def read_pages(media: DataFrame, media_col: str = "media", keep: tuple[str, ...]
 def store_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 64, channels: int = 3, compression: int = DEFLATE) -> DataFrame:
     """One row for each document: id, n_bytes and ``media``, a one-page TIFF of its UTF-8 bytes and blanks up to whole pixel rows.
 
-    Null texts are empty, and an empty text is one row of blanks.
+    Null texts are empty, and an empty text is one row of blanks. Whole texts of any length; repeated rows stay, equal texts give
+    equal files; other columns are ignored. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("body"))
     schema = rows.select("id", F.lit(0).cast("long").alias("n_bytes"), F.lit(b"").alias("media")).schema

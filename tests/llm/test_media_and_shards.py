@@ -52,16 +52,72 @@ def test_tiff_bad_files(spark):
     assert tiff.read_pages(spark.createDataFrame([], "doc_id long, media binary")).count() == 0
 
 
-def test_tiff_pages_after_a_bad_one(spark):
-    """A page of 4 bits between two sound ones: it is an error, they are read."""
-    data = bytearray(tiff.encode([np.full((2, 2, 1), v, dtype=np.uint8) for v in (1, 2, 3)]))
+@pytest.mark.parametrize("compression", [tiff.NONE, tiff.LZW, tiff.DEFLATE, tiff.PACKBITS])
+@pytest.mark.parametrize("box", [None, (16, 32)])
+@pytest.mark.parametrize("order", ["<", ">"])
+def test_tiff_other_samples(compression, box, order):
+    """Bits, half bytes, signed and floating-point numbers, with the floating-point predictor."""
+    for bits in (1, 2, 4):
+        images = [RNG.integers(0, 1 << bits, shape).astype("u1") for shape in ((1, 1, 1), (5, 37, 3), (40, 64, 1))]
+        got = list(tiff.pages(tiff.encode(images, compression, 1, order, box, strip=100, bits=bits)))
+        assert all(np.array_equal(a, b.samples) and b.bits == bits for a, b in zip(images, got, strict=True))
+    for kind, predictor in (("i1", 2), ("i2", 2), ("u4", 2), ("i8", 1), ("f2", 3), ("f4", 1), ("f4", 3), ("f8", 3)):
+        images = [(RNG.random((9, 35, c)) * 100 - 50).astype(kind) for c in (1, 3)]
+        for planar in (False, True):
+            got = list(tiff.pages(tiff.encode(images, compression, predictor, order, box, planar, strip=500)))
+            assert all(np.array_equal(a, b.samples) and a.dtype == b.samples.dtype and tiff.feature(b.samples) for a, b in zip(images, got, strict=True))
+
+
+def test_tiff_fuzz():
+    """Ten thousand damaged files of every compression: each is pages or an error, in little memory and time."""
+    r = np.random.default_rng(7)
+    images = [r.integers(0, 4, (20, 30, 3)).astype("u1"), r.integers(0, 900, (7, 5, 1)).astype("u2")]
+    good = [tiff.encode(images, c, p, o, b) for c in (tiff.NONE, tiff.LZW, tiff.DEFLATE, tiff.PACKBITS) for p in (1, 2) for o in "<>" for b in (None, (16, 16))]
+    seen = {"pages": 0, "errors": 0}
+    for k in range(10_000):
+        data = bytearray(good[k % len(good)])
+        start = len(data) - 420 if k % 3 else 0  # most damage to directories, which stand last
+        for at in r.integers(start, len(data), r.integers(1, 6)).tolist():
+            data[at] = int(r.choice([0, 1, 2, 127, 128, 255, r.integers(0, 256)]))
+        if k % 7 == 0:
+            del data[r.integers(0, len(data)) :]
+        try:
+            for order, tags in tiff.directories(bytes(data)):
+                try:
+                    page = tiff.decode_page(bytes(data), order, tags)
+                    tiff.feature(page.samples)
+                    seen["pages"] += 1
+                except tiff.TiffError:
+                    seen["errors"] += 1
+        except tiff.DAMAGE:
+            seen["errors"] += 1
+    assert min(seen.values()) > 2000
+
+
+def altered(data, tag, value, page=0):
+    """``data`` with a tag of a page set; value None: its count."""
+    data = bytearray(data)
     at = struct.unpack_from("<I", data, 4)[0]
-    at = struct.unpack_from("<I", data, at + 2 + 12 * struct.unpack_from("<H", data, at)[0])[0]
+    for _ in range(page):
+        at = struct.unpack_from("<I", data, at + 2 + 12 * struct.unpack_from("<H", data, at)[0])[0]
     for k in range(struct.unpack_from("<H", data, at)[0]):
-        if struct.unpack_from("<H", data, at + 2 + 12 * k)[0] == tiff.BITS:
-            struct.pack_into("<H", data, at + 10 + 12 * k, 4)
-    got = sorted(tiff.read_pages(spark.createDataFrame([(7, bytes(data))], "doc_id long, media binary")).collect(), key=lambda r: r.page)
-    assert [(r.doc_id, r.page, r.samples and r.samples[0], r.error is None) for r in got] == [(7, 0, 1, True), (7, 1, None, False), (7, 2, 3, True)]
+        if struct.unpack_from("<H", data, at + 2 + 12 * k)[0] == tag:
+            struct.pack_into("<I", data, at + (6 if value is None else 10) + 12 * k, value or 0)
+    return bytes(data)
+
+
+def test_tiff_lies(spark):
+    """Tags without values, no channels, sizes beyond the file, a wrong checksum; an unknown page between two sound ones."""
+    good = tiff.encode([np.full((2, 2, 1), v, dtype=np.uint8) for v in (1, 2, 3)])
+    huge = altered(altered(altered(tiff.encode([np.zeros((8, 8, 1), dtype=np.uint8)]), tiff.WIDTH, 1 << 30), tiff.HEIGHT, 1 << 30), tiff.ROWS, 1 << 30)
+    wrong = bytearray(tiff.encode([np.arange(64, dtype=np.uint8).reshape(8, 8, 1)]))
+    size = struct.unpack_from("<I", wrong, 4)[0]
+    at = next(struct.unpack_from("<I", wrong, size + 10 + 12 * k)[0] for k in range(20) if struct.unpack_from("<H", wrong, size + 2 + 12 * k)[0] == tiff.COUNTS)
+    wrong[8 + at - 1] ^= 1  # the last byte of the checksum
+    media = [(1, altered(good, tiff.WIDTH, None)), (2, altered(good, tiff.CHANNELS, 0)), (3, huge), (4, bytes(wrong)), (7, altered(good, tiff.BITS, 5, 1))]
+    got = sorted(tiff.read_pages(spark.createDataFrame(media, "doc_id long, media binary")).collect(), key=lambda r: (r.doc_id, r.page))
+    assert all(r.error for r in got if r.doc_id in (3, 4) or r.doc_id in (1, 2) and r.page == 0)
+    assert [(r.page, r.samples and r.samples[0], r.error is None) for r in got if r.doc_id == 7] == [(0, 1, True), (1, None, False), (2, 3, True)]
 
 
 def test_tiff_query(spark, data, rows):
