@@ -48,7 +48,14 @@ def test_memo_turns_over():
     for _ in range(30):
         texts = [" ".join("w%d" % r.randrange(300) for _ in range(20)) for _ in range(3)]
         assert [np.frombuffer(p, "<u4").tolist() for p in own.encode(texts)] == [own.own.encode(t, add_special_tokens=False).ids for t in texts]
-    assert len(own.memo) <= 50 + 60
+    assert len(own.memo) <= 50 + 60 and len(own.bare) <= 12 + 60
+
+
+@pytest.mark.parametrize("text", ["a <|endoftext|> b x<|endoftext|>,y", "don't it's l'été, où?\nNext 12,5% (a)b", "a\x1cb c\u00a0d e", "a \x1cb", "x\n y", " lead", "trail ", "", "a " + "b" * 500 + " c"])
+def test_tokenizer_by_hand(plain_tokenizer, text):
+    own = packing.Tokenizer(JSON, memo=3)
+    for _ in range(2):
+        assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == plain_tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def check_packed(got, texts, tokenizer, capacity=2048):
@@ -96,6 +103,37 @@ def test_local_search(lengths):
     assert sum(sum(lengths[i] for i in b) ** 2 for b in found) >= before and len(found) <= len(first)
 
 
+def gains(bins, lengths, capacity):
+    """Every exchange that would increase the sum of squared fills, by trying them all."""
+    fill = [sum(lengths[i] for i in b) for b in bins]
+    for a, b in itertools.permutations(range(len(bins)), 2):
+        for comes in [*itertools.combinations(bins[a], 1), *itertools.combinations(bins[a], 2)]:
+            for leaves in [(), *itertools.combinations(bins[b], 1), *itertools.combinations(bins[b], 2)]:
+                g = sum(lengths[i] for i in comes) - sum(lengths[i] for i in leaves)
+                if len(comes) + len(leaves) < 4 and 0 < g <= capacity - fill[b] and fill[b] + g > fill[a] and fill[a] < capacity:
+                    yield a, b, comes, leaves
+
+
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.integers(1, 40), max_size=24) | st.lists(st.sampled_from([1, 2, 17, 23, 31]), max_size=40))
+def test_local_search_ends_where_no_exchange_gains(lengths):
+    assert not list(gains(packing.fill_bins(lengths, 50), lengths, 50))
+
+
+def test_equal_rows_are_dealt_apart(spark):
+    docs = spark.range(3000).select(functions.lit(None).cast("long").alias("doc_id"), functions.lit("one and the same text").alias("text")).repartition(3)
+    got = packing.pack(docs, JSON, per_block=250).withColumn("task", functions.shiftright("sequence_id", 40)).groupBy("task").count().collect()
+    assert len(got) >= 8 and max(r["count"] for r in got) < 900
+
+
+def test_distance_to_the_least_number():
+    """As measured, over the bound by volume, which no packing reaches where most pieces are large."""
+    r = random.Random(6)
+    for low, high, most in ((1, 60, 1), (1, 900, 1.001), (20, 2000, 1.01), (300, 1500, 1.01), (500, 900, 1.06)):
+        lengths = [r.randint(low, high) for _ in range(6000)]
+        assert len(packing.fill_bins(lengths)) <= max(-(-sum(lengths) // 2048) * most, -(-sum(lengths) // 2048) + 1)
+
+
 def test_local_search_empties_bins():
     r = random.Random(5)
     lengths = [r.randint(300, 1500) for _ in range(3000)]
