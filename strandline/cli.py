@@ -53,12 +53,12 @@ def build(parsed: DataFrame, out: str) -> str:
     graph.edges(parsed).write.mode("overwrite").parquet(f"{out}/edges")
     e = spark.read.parquet(f"{out}/edges")
     good = graph.resolved(e)
-    graph.chains(good).write.mode("overwrite").parquet(f"{out}/chains")
+    graph.in_order(graph.chains(good)).write.mode("overwrite").parquet(f"{out}/chains")
     chains = spark.read.parquet(f"{out}/chains")
-    graph.column_lineage(e, chains).write.mode("overwrite").parquet(f"{out}/column_lineage")
+    graph.column_lineage(e, chains).orderBy("target_column").write.mode("overwrite").parquet(f"{out}/column_lineage")
     lineage = spark.read.parquet(f"{out}/column_lineage")
     graph.edge_table(e).write.mode("overwrite").option("header", True).csv(f"{out}/edges_csv")
-    graph.chain_hops(chains).write.mode("overwrite").option("header", True).csv(f"{out}/chain_hops_csv")
+    graph.chain_hops(chains).orderBy("ultimate_source", "ultimate_target", "hop_number").write.mode("overwrite").option("header", True).csv(f"{out}/chain_hops_csv")
     total = graph.summary(e, chains)
     total.write.mode("overwrite").json(f"{out}/graph_summary")
     page = f"{out}/report.html"

@@ -52,55 +52,68 @@ def best_edges(e: DataFrame) -> DataFrame:
 
 
 def reach(hop: DataFrame, starts: DataFrame | None = None, max_rounds: int | None = None) -> DataFrame:
-    """Columns root, node, hops, path: for each root and each node that it reaches, a path of the fewest hops.
+    """Columns root, node, hops, previous: for each root and each node that it reaches, the fewest hops and the node before it.
 
-    ``hop``: a written table of :func:`best_edges`. Breadth first; of several shortest paths that counts which comes first in
-    text order, so results don't depend on the order of rows. Pruning by (root, node) each round keeps the work within roots
-    times edges, and ends cycles. Each round is a written table; nothing is collected.
+    ``hop``: a written table with source_column and target_column. Breadth first; of several nodes before it on shortest paths
+    that counts whose name is first, so results don't depend on the order of rows. Rows carry no paths; pruning by (root, node)
+    keeps the work within roots times edges, and ends cycles. Each round is a written table; nothing is collected.
     """
     starts = starts if starts is not None else roots(hop)
-    key = F.concat_ws("\x01", F.col("path.source_column"), F.col("node"))
-    seen = written(starts.select(F.col("node").alias("root"), "node", F.lit(0).alias("hops"), F.array().cast(f"array<{HOP}>").alias("path")), "graph-reach")
-    frontier, rounds, parts, reached = seen, 0, [], seen.select("root", "node")
+    link = hop.select("source_column", "target_column").distinct()
+    seen = written(starts.select(F.col("node").alias("root"), "node"), "graph-reach")
+    frontier, rounds, parts, reached = seen, 0, [], seen
     while (max_rounds is None or rounds < max_rounds) and not frontier.isEmpty():
         rounds += 1
-        step = frontier.select("root", F.col("node").alias("source_column"), "path").join(hop, "source_column")
-        step = step.select("root", F.col("target_column").alias("node"), F.lit(rounds).alias("hops"), F.array_append("path", _hop(rounds)).alias("path"))
-        new = step.join(reached, ["root", "node"], "left_anti").withColumn("key", key)
-        shortest = new.groupBy("root", "node").agg(F.min_by(F.struct("hops", "path"), "key").alias("s")).select("root", "node", "s.*")
-        frontier = written(shortest, "graph-reach")
+        step = frontier.select("root", F.col("node").alias("source_column")).join(link, "source_column")
+        best = step.groupBy("root", F.col("target_column").alias("node")).agg(F.min("source_column").alias("previous"))
+        frontier = written(best.join(reached, ["root", "node"], "left_anti").select("root", "node", F.lit(rounds).alias("hops"), "previous"), "graph-reach")
         parts.append(frontier)
         reached = reached.union(frontier.select("root", "node"))
-    out = seen.filter("false")
+    out = seen.select("root", "node", F.lit(0).alias("hops"), F.lit(None).cast("string").alias("previous")).filter("false")
     for p in parts:
         out = out.union(p)
     return out
 
 
+def pairs(e: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+    """ultimate_source, ultimate_target and hops of each root and each leaf that it reaches: all that counts and rollups need."""
+    hop = written(e.filter("source_column is not null and target_column is not null").select("source_column", "target_column").distinct(), "graph-links")
+    ends = leaves(hop).withColumnRenamed("node", "ultimate_target")
+    found = reach(hop, starts).select(F.col("root").alias("ultimate_source"), F.col("node").alias("ultimate_target"), "hops")
+    return found.join(ends, "ultimate_target", "left_semi").select("ultimate_source", "ultimate_target", "hops")
+
+
+def steps(hop: DataFrame, starts: DataFrame | None = None) -> DataFrame:
+    """One row for each hop of each chain: root, leaf, total, hop (from 1), source_column and target_column.
+
+    Chains are rebuilt once, from their leaves back, all of them a hop a round.
+    """
+    found = written(reach(hop, starts), "graph-reached")
+    at = written(found.join(leaves(hop), "node", "left_semi").select("root", F.col("node").alias("leaf"), F.col("hops").alias("total"), "node", "hops", "previous"), "graph-steps")
+    parts, most = [at], at.agg(F.max("hops")).first()[0] or 0
+    before = found.select("root", F.col("node").alias("at node"), "hops", F.col("previous").alias("one before"))
+    for n in range(most - 1, 0, -1):  # chains of more than n hops have an n-th one
+        back = at.filter(F.col("hops") == n + 1).select("root", "leaf", "total", F.col("previous").alias("at node"))
+        one = back.join(before.filter(F.col("hops") == n), ["root", "at node"]).select("root", "leaf", "total", F.col("at node").alias("node"), "hops", F.col("one before").alias("previous"))
+        parts.append(written(one, "graph-steps"))
+        at = parts[0].filter(F.col("hops") == n).union(parts[-1])
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.union(p)
+    return out.select("root", "leaf", "total", F.col("hops").alias("hop"), F.col("previous").alias("source_column"), F.col("node").alias("target_column"))
+
+
 def chains(e: DataFrame, starts: DataFrame | None = None) -> DataFrame:
-    """One chain for each root and each leaf that it reaches, in order of source and target."""
+    """One chain for each root and each leaf that it reaches, with its path; of the fewest hops, then first by the names from the leaf back."""
     hop = written(best_edges(e), "graph-edges")
-    ends = leaves(hop).withColumnRenamed("node", "ultimate_target")
-    found = reach(hop, starts).select(F.col("root").alias("ultimate_source"), F.col("node").alias("ultimate_target"), "hops", "path")
-    return found.join(ends, "ultimate_target", "left_semi").select("ultimate_source", "ultimate_target", "hops", "path").orderBy("ultimate_source", "ultimate_target")
-
-
-def chains_by_recursion(e: DataFrame) -> DataFrame:
-    """Pairs of root and leaf and their fewest hops by a recursive query; for small graphs, as its rows are limited."""
-    spark = e.sparkSession
-    good = e.filter("source_column is not null and target_column is not null").select("source_column", "target_column").distinct()
-    good.createOrReplaceTempView("strandline_edges")
-    roots(good).createOrReplaceTempView("strandline_roots")
-    leaves(good).createOrReplaceTempView("strandline_leaves")
-    return spark.sql("""
-        WITH RECURSIVE walk(root, node, hops, path) AS (
-          SELECT node, node, 0, array(node) FROM strandline_roots
-          UNION ALL
-          SELECT w.root, e.target_column, w.hops + 1, array_append(w.path, e.target_column)
-          FROM walk w JOIN strandline_edges e ON e.source_column = w.node
-          WHERE NOT array_contains(w.path, e.target_column))
-        SELECT w.root AS ultimate_source, w.node AS ultimate_target, min(w.hops) AS hops
-        FROM walk w JOIN strandline_leaves l ON l.node = w.node WHERE w.hops > 0 GROUP BY 1, 2""")
+    each = steps(hop, starts).join(hop, ["source_column", "target_column"])
+    path = F.array_sort(F.collect_list(_hop(F.col("hop")))).alias("path")  # as long as the chain
+    return each.groupBy(F.col("root").alias("ultimate_source"), F.col("leaf").alias("ultimate_target")).agg(F.first("total").alias("hops"), path)
+
+
+def in_order(found: DataFrame) -> DataFrame:
+    """Chains by source and target, for a sink that shows them."""
+    return found.orderBy("ultimate_source", "ultimate_target")
 
 
 def chain_hops(found: DataFrame) -> DataFrame:
@@ -128,8 +141,16 @@ def direct_sources(e: DataFrame) -> DataFrame:
     return e.filter("target_column is not null").groupBy("target_column").agg(F.array_sort(F.collect_set("source_column")).alias("direct_sources"))
 
 
+def column_sources(e: DataFrame, found: DataFrame) -> DataFrame:
+    """For each target: direct sources, ultimate sources (of chains or pairs that end there) and how many chains these are."""
+    held = found.groupBy(F.col("ultimate_target").alias("target_column")).agg(F.array_sort(F.collect_set("ultimate_source")).alias("ultimate_base_sources"), F.count("*").alias("chains"))
+    return direct_sources(e).join(held, "target_column", "left").select(
+        "target_column", "direct_sources", F.coalesce("ultimate_base_sources", F.array().cast("array<string>")).alias("ultimate_base_sources"), F.coalesce("chains", F.lit(0)).alias("chains")
+    )
+
+
 def column_lineage(e: DataFrame, found: DataFrame) -> DataFrame:
-    """For each target: direct sources, ultimate sources (of chains that end there) and those chains."""
+    """For each target: direct sources, ultimate sources (of chains that end there) and those chains, as the sinks show them."""
     held = found.groupBy(F.col("ultimate_target").alias("target_column")).agg(
         F.array_sort(F.collect_set("ultimate_source")).alias("ultimate_base_sources"), F.array_sort(F.collect_list(F.struct("ultimate_source", "ultimate_target", "hops", "path"))).alias("transformation_chains")
     )
@@ -137,11 +158,11 @@ def column_lineage(e: DataFrame, found: DataFrame) -> DataFrame:
     return direct_sources(e).join(held, "target_column", "left").select(
         "target_column", "direct_sources", F.coalesce("ultimate_base_sources", empty.cast("array<string>")).alias("ultimate_base_sources"),
         F.coalesce("transformation_chains", empty.cast(held.schema["transformation_chains"].dataType)).alias("transformation_chains"),
-    ).orderBy("target_column")
+    )
 
 
 def summary(e: DataFrame, found: DataFrame) -> DataFrame:
-    """One row of counts."""
+    """One row of counts; ``found``: chains or pairs."""
     by_edge = e.agg(F.count("*").alias("total_edges"), F.count("source_column").alias("resolved_edges"), F.count_if(F.col("source_column").isNull()).alias("unresolved_edges"), F.countDistinct("target_column").alias("unique_target_columns"))
     by_chain = found.agg(F.count("*").alias("total_chains"), F.coalesce(F.max("hops"), F.lit(0)).alias("max_chain_hops"))
     return by_edge.crossJoin(by_chain)  # one row each

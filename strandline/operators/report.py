@@ -49,14 +49,26 @@ def columns(e: DataFrame, lineage: DataFrame) -> DataFrame:
     return shown.select("target_column", table.alias("table"), name.alias("column"), state.alias("state"), F.array_distinct("transformation_chains").alias("chains"), "reasons", "expressions", "statement_types")
 
 
+def states(e: DataFrame, pairs: DataFrame) -> DataFrame:
+    """target_column, table, column and state of each reported target, without its chains: what the rollup needs."""
+    traced = pairs.select(F.col("ultimate_target").alias("target_column"), F.lit(True).alias("traced")).distinct()
+    open_ends = e.filter("source_column is null").select("target_column", F.lit(True).alias("open end")).distinct()
+    table, name = split_column(F.col("target_column"), bare_is_table=False)
+    state = F.when(F.col("traced"), "resolved").when(F.col("open end"), "unresolved").otherwise("no-info")
+    return reported(e).join(traced, "target_column", "left").join(open_ends, "target_column", "left").select("target_column", table.alias("table"), name.alias("column"), state.alias("state"))
+
+
 def by_table(cols: DataFrame) -> DataFrame:
-    return cols.groupBy("table").agg(F.count("*").alias("columns"), F.count_if(F.col("state") == "resolved").alias("resolved"), F.count_if(F.col("state") != "resolved").alias("unresolved")).orderBy("table")
+    return cols.groupBy("table").agg(F.count("*").alias("columns"), F.count_if(F.col("state") == "resolved").alias("resolved"), F.count_if(F.col("state") != "resolved").alias("unresolved"))
 
 
 def badge(kind: str) -> str:
     return f'<span class="badge" style="background:{COLOURS.get(kind, OTHER_COLOUR)}">{html.escape(kind or "unknown")}</span>'
 
 
+# The sentences, titles and headings below are fixed values: users know them.
+
+
 def narrative(row) -> Iterator[str]:
     """Paragraphs on one column."""
     name = f"<strong>{html.escape(row.column)}</strong>"

@@ -265,14 +265,14 @@ def graph_leaves(spark, sf_dir):
 
 @query(f"WITH RECURSIVE {WALK_SQL} SELECT root AS ultimate_source, node AS ultimate_target, hops FROM chains")
 def chains_root_leaf(spark, sf_dir):
-    return graph.chains(data_edges(spark, sf_dir)).select("ultimate_source", "ultimate_target", "hops")
+    return graph.pairs(data_edges(spark, sf_dir))
 
 
 @query(f"""WITH RECURSIVE e(s, t) AS (VALUES {values(CYCLE)}), roots AS (SELECT DISTINCT s AS node FROM e WHERE s NOT IN (SELECT t FROM e)), leaves AS (SELECT DISTINCT t AS node FROM e WHERE t NOT IN (SELECT s FROM e)),
   walk(root, node, hops, path) AS (SELECT node, node, 0, [node] FROM roots UNION ALL SELECT w.root, e.t, w.hops + 1, list_append(w.path, e.t) FROM walk w JOIN e ON e.s = w.node WHERE NOT list_contains(w.path, e.t))
   SELECT root AS ultimate_source, node AS ultimate_target, min(hops) AS hops FROM walk WHERE hops > 0 AND node IN (SELECT node FROM leaves) GROUP BY 1, 2""")
 def chains_cyclic(spark, sf_dir):
-    return graph.chains_by_recursion(_cycle(spark))
+    return graph.pairs(_cycle(spark))
 
 
 def _cycle(spark: SparkSession) -> DataFrame:
@@ -281,6 +281,28 @@ def _cycle(spark: SparkSession) -> DataFrame:
     return rows.select("source_column", "target_column", F.lit(1).alias("statement_order"), F.lit("INSERT").alias("statement_type"), F.col("source_column").alias("resolved_expression"), F.lit("Direct assignment").alias("classification"), F.lit("s.sh").alias("script_name"), null.alias("merge_clause"), null.alias("resolution_note"))
 
 
+#: Paths of the fewest hops, the first by the names from the leaf back; names in the cyclic graph are single words.
+PATHS_SQL = """best AS (SELECT root, node, hops, path FROM walk WHERE hops > 0 AND node IN (SELECT node FROM leaves)
+  QUALIFY row_number() OVER (PARTITION BY root, node ORDER BY hops, list_reverse(path)) = 1)
+  SELECT root AS ultimate_source, node AS ultimate_target, hops, array_to_string(path, '>') AS path FROM best"""
+
+
+def _paths(found: DataFrame) -> DataFrame:
+    nodes = F.concat(F.array(F.col("path")[0]["source_column"]), F.transform("path", lambda h: h["target_column"]))
+    return found.select("ultimate_source", "ultimate_target", "hops", F.array_join(nodes, ">").alias("path"))
+
+
+@query(f"""WITH RECURSIVE {EDGES_SQL}, {ENDS_SQL}, walk(root, node, hops, path) AS (SELECT node, node, 0, [node] FROM roots UNION ALL SELECT w.root, e.target_column, w.hops + 1, list_append(w.path, e.target_column) FROM walk w JOIN e ON e.source_column = w.node), {PATHS_SQL}""")
+def chain_paths(spark, sf_dir):
+    return _paths(graph.chains(data_edges(spark, sf_dir)))
+
+
+@query(f"""WITH RECURSIVE e(s, t) AS (VALUES {values(CYCLE)}), roots AS (SELECT DISTINCT s AS node FROM e WHERE s NOT IN (SELECT t FROM e)), leaves AS (SELECT DISTINCT t AS node FROM e WHERE t NOT IN (SELECT s FROM e)),
+  walk(root, node, hops, path) AS (SELECT node, node, 0, [node] FROM roots UNION ALL SELECT w.root, e.t, w.hops + 1, list_append(w.path, e.t) FROM walk w JOIN e ON e.s = w.node WHERE NOT list_contains(w.path, e.t)), {PATHS_SQL}""")
+def chain_paths_cyclic(spark, sf_dir):
+    return _paths(graph.chains(_cycle(spark)))
+
+
 @query("""WITH e(s, t) AS (SELECT 'REGION.' || n_regionkey, 'NATION.' || n_nationkey FROM nation UNION ALL SELECT 'NATION.' || c_nationkey, 'CUSTOMER.' || c_custkey FROM customer),
   two AS (SELECT a.s AS u, b.t AS v, a.t AS m FROM e a JOIN e b ON b.s = a.t), one AS (SELECT e.s AS u, e.t AS v FROM e WHERE e.s LIKE 'REGION%' AND e.t NOT IN (SELECT s FROM e))
   SELECT u AS ultimate_source, v AS ultimate_target, 2 AS total_hops, 1 AS hop_number, u AS hop_source_column, m AS hop_target_column, 'NATION' AS hop_target_table FROM two
@@ -299,15 +321,15 @@ def direct_sources(spark, sf_dir):
   SELECT t.target_column, t.d AS direct_sources, coalesce(u.r, '') AS ultimate_base_sources, coalesce(u.n, 0) AS chains FROM (SELECT target_column, string_agg(DISTINCT source_column, ',' ORDER BY source_column) AS d FROM e GROUP BY 1) t LEFT JOIN u ON u.node = t.target_column""")
 def column_lineage(spark, sf_dir):
     e = written(data_edges(spark, sf_dir), "edges")
-    found = graph.column_lineage(e, graph.chains(e))
-    return found.select("target_column", F.array_join("direct_sources", ",").alias("direct_sources"), F.array_join("ultimate_base_sources", ",").alias("ultimate_base_sources"), F.size("transformation_chains").cast("long").alias("chains"))
+    found = graph.column_sources(e, graph.pairs(e))
+    return found.select("target_column", F.array_join("direct_sources", ",").alias("direct_sources"), F.array_join("ultimate_base_sources", ",").alias("ultimate_base_sources"), "chains")
 
 
 @query(f"""WITH RECURSIVE {WALK_SQL} SELECT (SELECT count(*) FROM e) AS total_edges, (SELECT count(source_column) FROM e) AS resolved_edges, 0::BIGINT AS unresolved_edges, (SELECT count(DISTINCT target_column) FROM e) AS unique_target_columns,
   (SELECT count(*) FROM chains) AS total_chains, (SELECT coalesce(max(hops), 0) FROM chains) AS max_chain_hops""")
 def graph_summary(spark, sf_dir):
     e = written(data_edges(spark, sf_dir), "edges")
-    return graph.summary(e, graph.chains(e))
+    return graph.summary(e, graph.pairs(e))
 
 
 # -- report ------------------------------------------------------------------------------------------------------
@@ -340,7 +362,7 @@ def constant_only(spark, sf_dir):
   SELECT string_split(target_column, '.')[1] AS "table", count(*) AS columns, count(*) FILTER (ok) AS resolved, count(*) FILTER (NOT ok) AS unresolved FROM f GROUP BY 1""")
 def report_table_rollup(spark, sf_dir):
     e = written(_report_edges(spark, sf_dir), "edges")
-    return report.by_table(report.columns(e, graph.column_lineage(e, graph.chains(e))))
+    return report.by_table(report.states(e, graph.pairs(e)))
 
 
 # -- runtime -----------------------------------------------------------------------------------------------------

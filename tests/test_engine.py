@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandline.functions import text
+from strandline import storage
 from strandline.operators import dedup, dq, graph, report
 from strandline.plans.pipeline import parse, script_results
 from strandline.plans.queries import CYCLE, SCRIPTS, _cycle
@@ -115,7 +116,7 @@ def test_parse_with_dictionary_and_dq(spark):
 def test_chains(spark):
     e = edges_of(spark, [("A", "B"), ("B", "C"), ("X", "B")])
     found = graph.chains(e)
-    assert [(r[0], r[1], r[2]) for r in found.collect()] == [("A", "C", 2), ("X", "C", 2)]
+    assert [(r[0], r[1], r[2]) for r in graph.in_order(found).collect()] == [("A", "C", 2), ("X", "C", 2)]
     lineage = {r.target_column: (r.direct_sources, r.ultimate_base_sources, len(r.transformation_chains)) for r in graph.column_lineage(e, found).collect()}
     assert lineage == {"B": (["A", "X"], [], 0), "C": (["B"], ["A", "X"], 2)}
     assert [h.hop for h in found.first().path] == [1, 2]
@@ -153,8 +154,36 @@ def test_chains_equal_naive_search(spark):
         pairs = list({(f"n{rng.randrange(9)}", f"n{rng.randrange(9)}") for _ in range(14)} | {("r1", "n0"), ("r2", "n3"), ("n5", "z")})
         got = {(r[0], r[1]): r[2] for r in graph.chains(edges_of(spark, pairs)).collect()}
         assert got == naive(pairs)
-    by_query = {(r[0], r[1]): r[2] for r in graph.chains_by_recursion(_cycle(spark)).collect()}
-    assert by_query == naive(CYCLE) == {(r[0], r[1]): r[2] for r in graph.chains(_cycle(spark)).collect()}
+        assert {(r[0], r[1]): r[2] for r in graph.pairs(edges_of(spark, pairs)).collect()} == got
+    assert naive(CYCLE) == {(r[0], r[1]): r[2] for r in graph.chains(_cycle(spark)).collect()} == {(r[0], r[1]): r[2] for r in graph.pairs(_cycle(spark)).collect()}
+
+
+def test_long_chain(spark):
+    e = edges_of(spark, [(f"c{k:02}", f"c{k + 1:02}") for k in range(7)] + [("c02", "x"), ("x", "c04")])
+    path = graph.chains(e).first().path
+    assert [(h.hop, h.source_column, h.target_column) for h in path] == [(k + 1, f"c{k:02}", f"c{k + 1:02}") for k in range(7)]
+    assert graph.chains(e, spark.createDataFrame([("c03",)], "node string")).first().hops == 4
+
+
+def test_shared_folder_is_needed_on_a_cluster(spark):
+    class Cluster:
+        class conf:  # noqa: N801
+            get = staticmethod(lambda *a: None)
+
+        class sparkContext:  # noqa: N801
+            master, getCheckpointDir = "local-cluster[2,1,1024]", staticmethod(lambda: None)
+
+    with pytest.raises(RuntimeError):
+        storage.shared_dir(Cluster)
+
+
+def test_release(spark):
+    path = storage.fresh_path(spark, "t")
+    spark.range(3).write.parquet(path)
+    table = storage.written(spark.range(4), "t")
+    assert table.count() == 4 and len(storage._HELD) >= 2
+    storage.release(spark)
+    assert not storage._HELD and not os.path.exists(path.removeprefix("file:").replace("///", "/").replace("//", "/"))
 
 
 def test_edge_dedup_takes_the_first_script(spark):
