@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.plans.lineage import KEYWORDS, TABLE_NAME
-
 KINDS = ("INSERT", "UPDATE", "DELETE", "MERGE", "CREATE", "SELECT")
 SHELL_PREFIX = r"\$\{?[A-Za-z_]\w*\}?\."
 STATEMENT_END = r"(?md);\s*(?:\n|$)"
@@ -67,10 +65,6 @@ def kind_of(clean: Column) -> Column:
     return out.otherwise("OTHER")
 
 
-def concat_chain(sql: Column) -> Column:
-    return sql.rlike(r"(?s)\|\|.{0,200}\|\|.{0,200}\|\|")
-
-
 def statements(scripts: DataFrame, robust: bool = False) -> DataFrame:
     """script_name, order (from 1), block, statement_type, statement_text and ``clean``, the text without leading comments."""
     split = scripts.select("script_name", F.posexplode(statement_array(F.col("text"), robust)).alias("pos", "statement_text"))
@@ -78,37 +72,6 @@ def statements(scripts: DataFrame, robust: bool = False) -> DataFrame:
     return clean.select("script_name", (F.col("pos") + 1).alias("order"), F.lit(1).alias("block"), kind_of(F.col("clean")).alias("statement_type"), "statement_text", "clean")
 
 
-def flagged(stmts: DataFrame, limit: int = 10_000) -> DataFrame:
-    """With ``too_large``, ``chained`` and ``route``: the parser that a statement goes to first."""
-    large, chained, kind = F.length("clean") > limit, concat_chain(F.col("clean")), F.col("statement_type")
-    by_text = large | chained
-    route = (
-        F.when(kind == "INSERT", F.when(by_text, "positional").otherwise("full"))
-        .when(kind == "UPDATE", F.when(by_text, "simplified").otherwise("full"))
-        .when(kind.isin("CREATE", "MERGE"), F.when(large, "error").otherwise("full"))
-        .otherwise("none")
-    )
-    return stmts.withColumns({"too_large": large, "chained": chained, "route": route})
-
-
-def column_refs(e: Column) -> Column:
-    """Names and dotted pairs that aren't all keywords, upper-cased, in order, each once."""
-    names = F.regexp_extract_all(F.regexp_replace(e, "'[^']*'", " "), F.lit(r"\b[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)?\b"), F.lit(0))
-    keywords = F.array(*(F.lit(k) for k in sorted(KEYWORDS)))
-    return F.array_distinct(F.filter(F.transform(names, F.upper), lambda x: F.size(F.array_except(F.split(x, r"\."), keywords)) > 0))
-
-
-def target_table(sql: Column, kind: str) -> Column:
-    head = r"INSERT\s+INTO" if kind == "INSERT" else "UPDATE"
-    found = F.regexp_extract(sql, rf"(?i){head}\s+({TABLE_NAME})", 1)
-    return F.when(found == "", "UNKNOWN").otherwise(found)
-
-
-def source_tables(sql: Column, target: Column) -> Column:
-    found = F.regexp_extract_all(sql, F.lit(rf"(?i)(?:FROM|JOIN)\s+({TABLE_NAME})"), F.lit(1))
-    return F.array_distinct(F.filter(found, lambda t: F.upper(t) != F.upper(target)))
-
-
 def all_comments_removed_split(text: Column) -> Column:
     """Every comment removed, then a cut at every semicolon."""
     plain = F.regexp_replace(F.regexp_replace(text, r"(?s)/\*.*?\*/", " "), r"--[^\n]*", " ")

@@ -39,7 +39,7 @@ def latest_row(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
 
 
 def code_lookup(df: DataFrame, codes: DataFrame, on: Column, value: str, alias: str, default: Column) -> DataFrame:
-    """A code's translation, or a default where there is none."""
+    """A code's translation, or a default where there is none; a code with several translations gives a row for each, as the outer join does."""
     return df.join(codes, on, "left").withColumn(alias, F.coalesce(F.col(value), default))
 
 
@@ -66,23 +66,31 @@ def delete_where(target: DataFrame, other: DataFrame, condition: Column) -> Data
     return target.join(other, condition, "left_anti")
 
 
-def newer(a: Sequence[Column], b: Sequence[Column]) -> Column:
-    """Lexicographically greater over several columns."""
-    return F.struct(*a) > F.struct(*b)
+def older(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "older") -> DataFrame:
+    """With the number of rows of the same key that are lexicographically less over several columns: a rank, no pairs."""
+    return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(*order)) - 1)
+
+
+def one_each(source: DataFrame, on: Sequence[str]) -> DataFrame:
+    """The source, checked as it is read: a key that stands twice is an error, as a target row would be written twice."""
+    rest = [c for c in source.columns if c not in on]
+    by_key = source.groupBy(*on).agg(F.count("*").alias("rows of key"), F.first(F.struct(F.lit(1).alias("rest of row"), *rest)).alias("row of key"))
+    single = F.when(F.col("rows of key") == 1, True).otherwise(F.raise_error(F.lit("a key stands twice in the source of an update or merge")).cast("boolean"))
+    return by_key.filter(single).select(*on, *(F.col(f"row of key.{c}").alias(c) for c in rest)).select(*source.columns)
 
 
 def update_from(target: DataFrame, source: DataFrame, on: Sequence[str], sets: Mapping[str, Column]) -> DataFrame:
-    """UPDATE ... FROM: columns of matched rows set, the others as they were. The source has one row for each key."""
-    src = source.withColumn("matched row", F.lit(True))
+    """UPDATE ... FROM: columns of matched rows set, the others as they were. A key that the source has twice is an error."""
+    src = one_each(source, on).withColumn("matched row", F.lit(True))
     met = target.alias("t").join(src.alias("s"), list(on), "left")
     out = [F.when(F.col("matched row"), sets[c]).otherwise(F.col(f"t.{c}")).alias(c) if c in sets else F.col(c if c in on else f"t.{c}").alias(c) for c in target.columns]
     return met.select(*out)
 
 
 def upsert(target: DataFrame, source: DataFrame, on: Sequence[str]) -> DataFrame:
-    """MERGE: matched rows take the source's columns, new ones are added."""
+    """MERGE: matched rows take the source's columns, new ones are added. A key that the source has twice is an error."""
     keep = target.join(source.select(*on), list(on), "left_anti")
-    return keep.select(*target.columns).unionByName(source.select(*target.columns))
+    return keep.select(*target.columns).unionByName(one_each(source, on).select(*target.columns))
 
 
 def unpivot(df: DataFrame, ids: Sequence[str], values: Mapping[str, Column]) -> DataFrame:

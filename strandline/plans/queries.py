@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from strandline.functions import text
 from strandline.operators import dedup, dq, graph, patterns, report
-from strandline.plans.pipeline import parse, script_results
+from strandline.plans import lineage as statement
+from strandline.plans.pipeline import parse, references, routed, script_results
+from strandline.schemas import RECORD
 from strandline.sources.scripts import dictionary
-from strandline.storage import table, written
+from strandline.storage import fresh_path, table, written
 from strandline.streaming.incremental import latest, pending
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -57,13 +59,12 @@ SCRIPTS = [
     ("d_empty.sh", ".QUIT 0\n\n"),
 ]
 EXPRESSIONS = [(1, "COALESCE(S.Y, U.Z)"), (2, "CASE WHEN A.B > 1 THEN 'C.D' ELSE e END"), (3, "'only text'"), (4, "x + X + t.x - 12"), (5, "")]
-INSERTS = [(1, "INSERT INTO T (A) SELECT X FROM S1 JOIN S2 ON S1.K=S2.K"), (2, "insert into t select a from T join db.u v on v.k = t.k join DB.U w on 1=1"), (3, "INSERT T (A) SELECT 1")]
+INSERTS = [(1, "INSERT INTO T (A) SELECT X FROM S1 JOIN S2 ON S1.K=S2.K"), (2, "insert into t select a from T join db.u v on v.k = t.k join DB.U w on 1=1"), (3, "INSERT T (A) SELECT 1"), (4, "INS T SELECT X FROM U, V JOIN w ON 1=1")]
 SEMANTICS = [
     ("T.A", ["S.X"], "Direct assignment", None), ("T.B", [], "Constant", None), ("T.C", [], "Derived", "Column 'C' not found in external dictionary lookup"),
     ("T.D", [], "Derived", "Column 'D' is ambiguous across multiple source tables: S, U"), ("T.E", [], "Direct assignment", "Column 'E' is unqualified and no external dictionary was provided"),
     ("T.F", [], "Derived", None), ("T.G", ["S.X", "U.Y"], "Derived (function)", None), ("T.H", [], "Derived", "Qualified source column references a table not present in scope"),
 ]
-REFERENCES = [(1, "K", ["STG", "FIX"]), (2, "V", ["D.STG"]), (3, "W", ["STG", "D2.UU"]), (4, "Z", ["STG", "UU"]), (5, "K", ["X.STG", "UU"])]
 DICTIONARY = [("D", "STG", "K"), ("D", "FIX", "k"), ("D", "UU", "W"), ("E", "UU", "w"), ("D", "STG", "V"), ("", "STG", "V"), ("D", "STG", "")]
 CYCLE = [("A", "B"), ("B", "C"), ("C", "B"), ("C", "D"), ("X", "B"), ("D", "E"), ("Y", "Y2"), ("Y2", "Y"), ("B", "E")]
 
@@ -110,14 +111,14 @@ def shell_prefix_strip(spark, sf_dir):
     return _scripts(spark).select("script_name", text.without_shell_prefix(F.col("text")).alias("stripped"))
 
 
-@query(r"""SELECT doc_id, length(text) > 10000 AS too_large, regexp_matches(text, '(?s)\|\|.{0,200}\|\|.{0,200}\|\|') AS chained,
-  CASE WHEN length(text) > 10000 OR regexp_matches(text, '(?s)\|\|.{0,200}\|\|.{0,200}\|\|') THEN 'positional' ELSE 'full' END AS route FROM documents""")
+@query(r"""SELECT doc_id, CASE WHEN length(text) > 10000 THEN 'SimplifiedParse: too large' WHEN regexp_matches(text, '(?s)\|\|.{0,200}\|\|.{0,200}\|\|') THEN 'SimplifiedParse: concat-chain pattern detected' ELSE 'SimplifiedParse: full parser failed' END AS note, 'simplified' AS parse_mode FROM documents""")
 def route_flags(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("clean"), F.lit("INSERT").alias("statement_type"))
-    return text.flagged(docs).select("doc_id", "too_large", "chained", "route")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("clean"), F.lit("UPDATE").alias("statement_type"))
+    note = F.regexp_replace("parse_note", r"(?s) \(.*", "")
+    return routed(docs).select("doc_id", note.alias("note"), F.get_json_object("record", "$.parse_mode").alias("parse_mode"))
 
 
-_KEYS = ", ".join(f"'{k}'" for k in sorted(text.KEYWORDS))
+_KEYS = ", ".join(f"'{k}'" for k in sorted(statement.KEYWORDS))
 _REFS_SQL = rf"""list_filter(list_transform(regexp_extract_all(regexp_replace({{0}}, '''[^'']*''', ' ', 'g'), '\b[A-Za-z_]\w*(?:\.[A-Za-z_]\w*)?\b'), lambda x: upper(x)),
   lambda x: len(list_filter(string_split(x, '.'), lambda y: NOT list_contains([{_KEYS}], y))) > 0)"""
 
@@ -126,20 +127,23 @@ _REFS_SQL = rf"""list_filter(list_transform(regexp_extract_all(regexp_replace({{
   SELECT CAST(id AS BIGINT) AS id, array_to_string(list_filter(r, lambda x, i: list_position(r, x) = i), ',') AS refs FROM r""")
 def column_refs(spark, sf_dir):
     rows = spark.createDataFrame(EXPRESSIONS, "id long, e string")
-    return rows.select("id", F.array_join(text.column_refs(F.col("e")), ",").alias("refs"))
+    return references(rows, "e", statement.column_refs).select("id", F.array_join("found", ",").alias("refs"))
 
 
 @query(f"WITH r AS (SELECT event_id, {_REFS_SQL.format('props')} AS r FROM events) SELECT event_id, array_to_string(list_filter(r, lambda x, i: list_position(r, x) = i), ',') AS refs FROM r")
 def column_refs_events(spark, sf_dir):
-    return table(spark, sf_dir, "events").select("event_id", F.array_join(text.column_refs(F.col("props")), ",").alias("refs"))
+    rows = table(spark, sf_dir, "events").select("event_id", "props")
+    return references(rows, "props", statement.column_refs).select("event_id", F.array_join("found", ",").alias("refs"))
 
 
-@query(rf"""WITH s(id, s) AS (VALUES {values(INSERTS)}), t AS (SELECT id, s, CASE WHEN regexp_extract(s, '(?i)INSERT\s+INTO\s+([A-Za-z0-9_$.]+)', 1) = '' THEN 'UNKNOWN' ELSE regexp_extract(s, '(?i)INSERT\s+INTO\s+([A-Za-z0-9_$.]+)', 1) END AS target FROM s),
+# with a column list and a SELECT the target is that of the positional method, else the plain one's or UNKNOWN
+@query(rf"""WITH s(id, s) AS (VALUES {values(INSERTS)}), t AS (SELECT id, s, coalesce(nullif(regexp_extract(s, '(?i)INSERT\s+(?:INTO\s+)?(\S+)\s*\([^()]*\)\s*SELECT', 1), ''), nullif(regexp_extract(s, '(?i)INSERT\s+INTO\s+([A-Za-z0-9_$.]+)', 1), ''), 'UNKNOWN') AS target FROM s),
   f AS (SELECT id, target, list_filter(regexp_extract_all(s, '(?i)(?:FROM|JOIN)\s+([A-Za-z0-9_$.]+)', 1), lambda x: upper(x) <> upper(target)) AS f FROM t)
   SELECT CAST(id AS BIGINT) AS id, target, array_to_string(list_filter(f, lambda x, i: list_position(f, x) = i), ',') AS tables FROM f""")
 def source_tables(spark, sf_dir):
-    rows = spark.createDataFrame(INSERTS, "id long, s string").withColumn("target", text.target_table(F.col("s"), "INSERT"))
-    return rows.select("id", "target", F.array_join(text.source_tables(F.col("s"), F.col("target")), ",").alias("tables"))
+    rows = spark.createDataFrame([(i, "INSERT", e) for i, e in INSERTS], "id long, statement_type string, clean string")
+    found = routed(rows, limit=0).select("id", F.from_json("record", RECORD).alias("r"))  # too large: by text alone
+    return found.select("id", F.col("r.target.table").alias("target"), F.array_join("r.source_scope.base_tables", ",").alias("tables"))
 
 
 @query(f"""SELECT upper(c) AS "column", string_agg(DISTINCT upper(s || '.' || t), ',' ORDER BY upper(s || '.' || t)) AS tables FROM (VALUES {values(DICTIONARY)}) d(s, t, c) WHERE s <> '' AND t <> '' AND c <> '' GROUP BY 1""")
@@ -147,18 +151,17 @@ def dict_load(spark, sf_dir):
     return dictionary(spark.createDataFrame(DICTIONARY, "schema string, table string, column string")).select("column", F.array_join("tables", ",").alias("tables"))
 
 
-@query(f"""WITH d AS (SELECT DISTINCT upper(c) AS c, upper(t) AS t FROM (VALUES {values(DICTIONARY)}) d(s, t, c) WHERE s <> '' AND t <> '' AND c <> ''),
-  r AS (SELECT id, c, tables, unnest(tables) AS scope FROM (VALUES {values(REFERENCES)}) r(id, c, tables)),
-  m AS (SELECT r.id, count(DISTINCT r.scope) AS n, min(r.scope) AS t FROM r JOIN d ON d.c = r.c AND d.t = string_split(r.scope, '.')[-1] GROUP BY r.id)
-  SELECT CAST(r.id AS BIGINT) AS id, r.c AS "column", CASE WHEN len(r.tables) = 1 THEN r.tables[1] WHEN m.n = 1 THEN m.t END AS bound FROM (VALUES {values(REFERENCES)}) r(id, c, tables) LEFT JOIN m ON m.id = r.id""")
+@query("""WITH r AS (SELECT c_custkey, c_nationkey AS n, n_regionkey AS g, c_custkey % 5 AS a, (c_custkey + 1) % 5 AS b FROM customer JOIN nation ON n_nationkey = c_nationkey)
+  SELECT 'T' || c_custkey || '.A' AS target_column, CASE WHEN g IN (a, b) THEN 'S' || g || '.C' || n END AS source_column,
+    CASE WHEN g NOT IN (a, b) THEN 'Column ' || chr(39) || 'C' || n || chr(39) || ' exists in external dictionary but none of its tables (S' || g || ') match the in-scope tables (S' || least(a, b) || ', S' || greatest(a, b) || ')' END AS resolution_note FROM r""")
 def bind_columns(spark, sf_dir):
-    last = lambda c: F.element_at(F.split(c, r"\."), -1)
-    entries = dictionary(spark.createDataFrame(DICTIONARY, "schema string, table string, column string")).select("column", F.explode("tables").alias("t")).select("column", last("t").alias("last")).distinct()
-    refs = spark.createDataFrame(REFERENCES, "id long, column string, tables array<string>")
-    each = refs.select("id", "column", F.explode("tables").alias("scope")).withColumn("last", last("scope"))
-    met = each.join(entries, ["column", "last"]).groupBy("id").agg(F.countDistinct("scope").alias("n"), F.min("scope").alias("t"))
-    only = F.when(F.size("tables") == 1, F.col("tables")[0]).when(F.col("n") == 1, F.col("t"))
-    return refs.join(met, "id", "left").select("id", "column", only.alias("bound"))
+    """A statement for each customer names its nation's column bare, with two of five tables in scope; the dictionary has each nation's column in its region's table."""
+    n = table(spark, sf_dir, "nation")
+    entries = dictionary(n.select(F.lit("D").alias("schema"), F.concat(F.lit("S"), "n_regionkey").alias("table"), F.concat(F.lit("C"), "n_nationkey").alias("column")))
+    a, b = (F.pmod(F.col("c_custkey") + k, F.lit(5)) for k in (0, 1))
+    sql = F.format_string("INSERT INTO T%d (A) SELECT C%d FROM S%d JOIN S%d ON S%d.K = S%d.K;\n", "c_custkey", "c_nationkey", a, b, a, b)
+    scripts = table(spark, sf_dir, "customer").select(F.concat(F.lit("c"), "c_custkey", F.lit(".sh")).alias("script_name"), sql.alias("text"))
+    return graph.edges(parse(scripts, entries)).select("target_column", "source_column", "resolution_note")
 
 
 # -- lineage -------------------------------------------------------------------------------------------------
@@ -179,6 +182,88 @@ def lineage_edges(spark, sf_dir):
     return e.select("script_name", F.col("statement_order").cast("long").alias("statement_order"), "statement_type", "source_column", "target_column", "classification", "merge_clause")
 
 
+#: Statements by a part's remainder, with its key for {k}; what each must give: mode, kind of CREATE, note, error.
+FORMS: list[tuple[str, tuple, list[tuple]]] = [
+    ("INSERT INTO T{k} (A, B) SELECT S.X + 1 AS C1, C1 * 2 FROM SRC{k} S;", ("full", None, None, None), [("SRC{k}.X", "T{k}.A", "Derived (arithmetic)", None), ("SRC{k}.X", "T{k}.B", "Derived (arithmetic)", None)]),
+    ("INSERT INTO T{k} ('a', {k});", ("full", None, None, None), [(None, "T{k}.COL_1", "Constant", None), (None, "T{k}.COL_2", "Constant", None)]),
+    ("INSERT INTO T{k} (A) VALUES (1);", ("simplified", None, "SimplifiedParse: full parser failed (GrammarError: INSERT source is not a SELECT)", None), []),
+    ("CREATE TABLE T{k} (A INTEGER, B DECIMAL(10,2) NOT NULL);", ("full", "DDL", None, None), []),
+    ("INSERT INTO T{k} (A) SELECT S.X FROM S1_{k} S UNION ALL SELECT U.Y FROM S2_{k} U;", ("full", None, None, None), [("S1_{k}.X", "T{k}.A", "Direct assignment", None)]),
+    ("INSERT INTO T{k} (A) SELECT X FROM S1_{k} JOIN S2_{k} ON S1_{k}.K = S2_{k}.K;", ("full", None, None, None), [(None, "T{k}.A", "Direct assignment", "Column 'X' is unqualified and no external dictionary was provided")]),
+    ("INSERT INTO T{k} (A) SELECT Z.X FROM SRC{k} S;", ("full", None, None, None), [(None, "T{k}.A", "Direct assignment", "Qualified source column references a table not present in scope")]),
+    ("INSERT INTO T{k} (A, B, C) SELECT S.X || '-' || S.Y || '-' || F(S.Z, 1), S.W AS V, 'k' FROM SRC{k} S;", ("positional", None, "PositionalParse: concat-chain pattern detected", None),
+     [("S.X", "T{k}.A", "DERIVED", None), ("S.Y", "T{k}.A", "DERIVED", None), ("S.Z", "T{k}.A", "DERIVED", None), ("S.W", "T{k}.B", "DIRECT", None), (None, "T{k}.C", "CONSTANT", None)]),
+    ("INSERT INTO T{k} (A) SELECT S.X FROM SRC{k} S WHERE S.N IN ({long}0);", ("positional", None, "PositionalParse: too large", None), [("S.X", "T{k}.A", "DIRECT", None)]),
+    ("UPDATE T{k} SET A = B || C || D || E;", ("simplified", None, "SimplifiedParse: concat-chain pattern detected", None), []),
+    ("UPDATE T{k} FROM SRC{k} S SET A = S.X, B = 0 WHERE T{k}.K = S.K;", ("full", None, None, None), [("SRC{k}.X", "T{k}.A", "Direct assignment", None), (None, "T{k}.B", "Constant", None)]),
+    ("MERGE INTO T{k} USING SRC{k} S ON T{k}.K = S.K WHEN MATCHED THEN UPDATE SET A = S.X;", ("full", None, None, None), [("SRC{k}.X", "T{k}.A", "Direct assignment", None)]),
+    ("CREATE TABLE T{k} AS (SELECT COALESCE(S.X, 0) AS A FROM SRC{k} S) WITH DATA;", ("full", "CTAS", None, None), [("SRC{k}.X", "T{k}.A", "Derived (function)", None)]),
+    ("CREATE TABLE T{k} AS (SELECT S.X FROM SRC{k} S WHERE S.N IN ({long}0)) WITH DATA;", (None, None, None, "StatementTooLarge"), []),
+    ("DELETE FROM T{k} ALL;", (None, None, None, None), []),
+]
+LONG = "1, " * 4000
+
+
+def _generated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A script for each supplier: a statement for each part, forms in turn, parts dealt to suppliers."""
+    forms = spark.createDataFrame([(n, f[0].replace("{long}", LONG)) for n, f in enumerate(FORMS)], "form long, sql string")
+    suppliers = table(spark, sf_dir, "supplier").count()
+    parts = table(spark, sf_dir, "part").select("p_partkey", (F.col("p_partkey") % len(FORMS)).alias("form"), (F.col("p_partkey") % suppliers).alias("s"))
+    lines = parts.join(F.broadcast(forms), "form").select("s", F.struct("p_partkey", F.replace("sql", F.lit("{k}"), F.col("p_partkey").cast("string")).alias("sql")).alias("line"))
+    held = lines.groupBy("s").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    return held.select(F.format_string("s%d.sh", "s").alias("script_name"), F.concat(F.array_join("lines.sql", "\n"), F.lit("\n")).alias("text"))
+
+
+_FORM_SQL = f"p AS (SELECT p_partkey AS k, p_partkey % {len(FORMS)} AS form, 's' || (p_partkey % (SELECT count(*) FROM supplier)) || '.sh' AS script_name, row_number() OVER (PARTITION BY p_partkey % (SELECT count(*) FROM supplier) ORDER BY p_partkey) AS ord FROM part)"
+
+
+@query(f"""WITH {_FORM_SQL}, f(form, kind, parse_mode, create_kind, parse_note, parse_error) AS (VALUES {values([(n, f[0].split()[0], *f[1]) for n, f in enumerate(FORMS)])})
+  SELECT script_name, ord, kind AS statement_type, parse_mode, create_kind, parse_note, parse_error, CASE WHEN kind = 'DELETE' THEN 'Not parsed: statement type ''DELETE'' is not currently supported.' END AS note FROM p JOIN f ON f.form = p.form""")
+def parsed_statements(spark, sf_dir):
+    """Routing, fallbacks, DDL and errors by the engine, end to end."""
+    parsed = parse(_generated(spark, sf_dir))
+    return parsed.select("script_name", F.col("order").cast("long").alias("ord"), "statement_type", "semantic.parse_mode", "semantic.create_kind", "parse_note", F.regexp_extract("parse_error", r"^\w+", 0).alias("parse_error"), F.col("notes")[0].alias("note"))
+
+
+_GENERATED_EDGES = f"""{_FORM_SQL}, f(form, kind, s, t, classification, note, clause) AS (VALUES {values([(n, {"CREATE": "CREATE/CTAS"}.get(f[0].split()[0], f[0].split()[0]), *e, "WHEN MATCHED UPDATE" if f[0].startswith("MERGE") else None) for n, f in enumerate(FORMS) for e in f[2]])}),
+  e AS (SELECT script_name, ord AS statement_order, kind AS statement_type, replace(s, '{{k}}', k::VARCHAR) AS source_column, replace(t, '{{k}}', k::VARCHAR) AS target_column, classification, clause AS merge_clause, CASE WHEN s IS NULL THEN note END AS resolution_note FROM p JOIN f ON f.form = p.form)"""
+
+
+@query(f"WITH {_GENERATED_EDGES} SELECT * FROM e")
+def parsed_edges(spark, sf_dir):
+    """Lateral aliases, values, unions, notes, positional and full parsing by the engine, as edges."""
+    e = graph.edges(parse(_generated(spark, sf_dir)))
+    return e.select("script_name", F.col("statement_order").cast("long").alias("statement_order"), "statement_type", "source_column", "target_column", "classification", "merge_clause", "resolution_note")
+
+
+@query(f"""WITH {_GENERATED_EDGES} SELECT script_name, statement_order, statement_type, coalesce(split_part(source_column, '.', 1), '') AS source_table, coalesce(split_part(source_column, '.', 2), '') AS source_column_name, coalesce(source_column, '') AS source_column,
+  split_part(target_column, '.', 1) AS target_table, split_part(target_column, '.', 2) AS target_column_name, target_column, classification, merge_clause, resolution_note FROM e""")
+def edge_csv(spark, sf_dir):
+    """The edge table as it is written to CSV and read back."""
+    path = fresh_path(spark, "edge-csv")
+    rows = graph.edge_table(graph.edges(parse(_generated(spark, sf_dir))))
+    rows.drop("resolved_expression").write.option("header", True).option("nullValue", "\\N").csv(path)
+    schema = ", ".join(f"{f.name} {'long' if f.name == 'statement_order' else 'string'}" for f in rows.drop("resolved_expression").schema)
+    back = spark.read.option("header", True).option("nullValue", "\\N").schema(schema).csv(path)
+    return back.fillna("", ["source_table", "source_column_name", "source_column"])  # an empty name is no field
+
+
+@query(f"WITH {_GENERATED_EDGES} SELECT count(*) AS missing, 0::BIGINT AS dictionary_miss, 0::BIGINT AS ambiguous, count(*) FILTER (contains(resolution_note, 'no external dictionary')) AS no_dictionary, count(*) FILTER (NOT contains(resolution_note, 'no external dictionary')) AS other FROM e WHERE source_column IS NULL AND classification NOT IN ('Constant', 'CONSTANT')")
+def parsed_dq(spark, sf_dir):
+    """Reasons of missing sources, from parsed statements."""
+    return dq.buckets(dq.semantics(parse(_generated(spark, sf_dir))))
+
+
+@query(f"""WITH {_GENERATED_EDGES}, c AS (SELECT script_name, count(*) FILTER (form IN (0, 1, 2, 4, 5, 6, 7, 8)) AS i, count(*) FILTER (form IN (3, 12)) AS c, count(*) FILTER (form = 13) AS cf, count(*) FILTER (form IN (9, 10)) AS u, count(*) FILTER (form = 11) AS m, count(*) AS n FROM p GROUP BY script_name)
+  SELECT count(*) AS scripts_emitted, 0::BIGINT AS scripts_skipped_no_sql, sum(n)::BIGINT AS sql_statements_emitted, sum(i)::BIGINT AS insert_statements_emitted, sum(i)::BIGINT AS insert_parsed_ok, 0::BIGINT AS insert_parse_failures, sum(c + cf)::BIGINT AS create_statements_emitted, sum(c)::BIGINT AS create_parsed_ok, sum(cf)::BIGINT AS create_parse_failures,
+  sum(u)::BIGINT AS update_statements_emitted, sum(u)::BIGINT AS update_parsed_ok, 0::BIGINT AS update_parse_failures, sum(m)::BIGINT AS merge_statements_emitted, sum(m)::BIGINT AS merge_parsed_ok, 0::BIGINT AS merge_parse_failures, (SELECT count(*) FROM e WHERE source_column IS NULL AND classification NOT IN ('Constant', 'CONSTANT')) AS dq_missing_base_sources_total FROM c""")
+def parsed_rollup(spark, sf_dir):
+    """Counters of all scripts and the total of missing sources."""
+    scripts = _generated(spark, sf_dir)
+    parsed = written(parse(scripts), "parsed")
+    return dq.rollup(script_results(scripts, parsed), parsed)
+
+
 @query(f"""WITH {STATEMENTS_SQL} SELECT s.script_name, count(k.ord) FILTER (k.statement_type = 'INSERT') AS insert_statement_count, count(k.ord) FILTER (k.statement_type = 'UPDATE') AS update_statement_count,
   CASE WHEN count(k.ord) = 0 THEN NULL ELSE count(k.ord) END AS sql_statement_count, count(k.ord) = 0 AS skipped FROM scripts s LEFT JOIN kinds k ON k.script_name = s.script_name GROUP BY s.script_name""")
 def script_rollup(spark, sf_dir):
@@ -365,6 +450,18 @@ def report_table_rollup(spark, sf_dir):
     return report.by_table(report.states(e, graph.pairs(e)))
 
 
+@query(f"""WITH RECURSIVE {REPORT_SQL}, {ENDS_SQL}, walk(root, node, hops) AS (SELECT node, node, 0 FROM roots UNION SELECT w.root, e.target_column, w.hops + 1 FROM walk w JOIN e ON e.source_column = w.node),
+  n AS (SELECT node, count(*) AS n, min(root) AS first FROM walk WHERE hops > 0 AND node IN (SELECT node FROM leaves) GROUP BY node)
+  SELECT target_column, split_part(target_column, '.', 1) AS "table", split_part(target_column, '.', 2) AS "column", CASE WHEN n.n > 0 THEN 'resolved' ELSE 'unresolved' END AS state, coalesce(n.n, 0) AS chains, n.first AS first_source, CASE WHEN n.n IS NULL THEN 'why' END AS reasons, CASE WHEN n.n IS NULL THEN '1' END AS expressions, CASE WHEN n.n IS NULL THEN 'INSERT' END AS statement_types
+  FROM (SELECT target_column FROM x WHERE target_column NOT IN (SELECT source_column FROM x WHERE source_column IS NOT NULL) GROUP BY 1 HAVING NOT bool_and(source_column IS NULL AND classification = 'Constant')) t LEFT JOIN n ON n.node = t.target_column""")
+def report_columns(spark, sf_dir):
+    """What the report says of each final column: its state, chains, reasons, expressions and statements."""
+    e = written(_report_edges(spark, sf_dir), "edges")
+    found = report.columns(e, graph.column_lineage(e, graph.chains(e)))
+    joined = lambda c: F.array_join(c, ";").alias(c)
+    return found.select("target_column", "table", "column", "state", F.size("chains").cast("long").alias("chains"), F.array_min(F.transform("chains", lambda c: c["ultimate_source"])).alias("first_source"), joined("reasons"), joined("expressions"), joined("statement_types"))
+
+
 # -- runtime -----------------------------------------------------------------------------------------------------
 
 
@@ -426,9 +523,10 @@ def code_lookup_default(spark, sf_dir):
     return two.select("c_custkey", "nation", "region", segment.alias("segment"))
 
 
-@query("SELECT c_custkey, c_name FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders) o ON o_custkey = c_custkey WHERE o_custkey IS NULL")
+@query("SELECT c_custkey, c_name FROM customer LEFT JOIN (SELECT DISTINCT o_custkey FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 400000) o ON o_custkey = c_custkey WHERE o_custkey IS NULL")
 def insert_only_anti(spark, sf_dir):
-    return patterns.insert_new(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"])
+    held = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F' and o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
+    return patterns.insert_new(table(spark, sf_dir, "customer").select("c_custkey", "c_name"), held, ["c_custkey"])
 
 
 @query("SELECT p_partkey, p_brand FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 40)")
@@ -462,9 +560,7 @@ def older_reversal_range(spark, sf_dir):
 @query("""SELECT a.o_custkey, count(*) AS newer_pairs FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND (a.o_orderdate > b.o_orderdate OR a.o_orderdate = b.o_orderdate AND (a.o_totalprice > b.o_totalprice OR a.o_totalprice = b.o_totalprice AND a.o_orderkey > b.o_orderkey)) GROUP BY a.o_custkey""")
 def lexicographic_newer(spark, sf_dir):
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice", "o_orderkey")
-    cols = ("o_orderdate", "o_totalprice", "o_orderkey")
-    is_newer = patterns.newer([F.col(f"a.{c}") for c in cols], [F.col(f"b.{c}") for c in cols])
-    return o.alias("a").join(o.alias("b"), (F.col("a.o_custkey") == F.col("b.o_custkey")) & is_newer).groupBy("a.o_custkey").agg(F.count("*").alias("newer_pairs"))
+    return patterns.older(o, ["o_custkey"], ["o_orderdate", "o_totalprice", "o_orderkey"]).groupBy("o_custkey").agg(F.sum("older").alias("newer_pairs")).filter("newer_pairs > 0")
 
 
 @query("""WITH p AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events WHERE event_type = 'purchase'), r AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events WHERE event_type = 'error')

@@ -53,3 +53,11 @@ def test_upsert_and_update(spark):
     s = spark.createDataFrame([(2, None), (3, "c")], "k int, v string")
     assert sorted((r.k, r.v) for r in patterns.update_from(t, s, ["k"], {"v": F.col("s.v")}).collect()) == [(1, "a"), (2, None)]
     assert sorted((r.k, r.v) for r in patterns.upsert(t, s, ["k"]).collect()) == [(1, "a"), (2, None), (3, "c")]
+    for twice in (lambda: patterns.update_from(t, s.union(s), ["k"], {"v": F.col("s.v")}), lambda: patterns.upsert(t, s.union(s), ["k"])):
+        with pytest.raises(Exception, match="a key stands twice"):
+            twice().collect()
+
+
+def test_older(spark):
+    rows = spark.createDataFrame([("a", 1, 1), ("a", 1, 1), ("a", 1, 2), ("a", 0, 9), ("b", 5, 5)], "k string, x int, y int")
+    assert sorted((r.k, r.x, r.y, r.older) for r in patterns.older(rows, ["k"], ["x", "y"]).collect()) == [("a", 0, 9, 0), ("a", 1, 1, 1), ("a", 1, 1, 1), ("a", 1, 2, 3), ("b", 5, 5, 0)]
