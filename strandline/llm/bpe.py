@@ -73,8 +73,19 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
 
 
+#: Patterns by which no pre-token goes on across a blank that stands alone between other characters.
+PLAIN_PATTERNS = frozenset((
+    r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s""",
+    r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",
+    r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""",
+))
+
+
 class Codec:
-    """``encode`` and ``decode`` by a rank file and the pattern that splits text before the merges."""
+    """``encode`` and ``decode`` by a rank file and the pattern that splits text before the merges.
+
+    With a pattern beyond PLAIN_PATTERNS each text is split whole, which is slower and takes any pattern.
+    """
 
     def __init__(self, path: str, pattern: str, memo: int = MEMO):
         self.ranks = load_ranks(path)
@@ -91,6 +102,7 @@ class Codec:
         self.sizes = np.array([len(t) for t in known])
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.split = regex.compile(pattern).findall
+        self.cuts = pattern in PLAIN_PATTERNS
         self.memo: dict[str, bytes] = {}
         self.aged: dict[str, bytes] = {}
         self.limit = memo
@@ -137,7 +149,7 @@ class Codec:
 
         A text with a blank beside other white space, or at an end, is cut into its pre-tokens.
         """
-        if "  " in text or text[0] == " " or text[-1] == " ":
+        if not self.cuts or "  " in text or text[0] == " " or text[-1] == " ":
             return self.split(text)
         for c in filter(str.isspace, set(text) - {" "}):
             if f" {c}" in text or f"{c} " in text:
@@ -193,7 +205,8 @@ def codec(path: str, pattern: str) -> Codec:
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each document: its id and ``ids``, its tokens; null and empty texts have none.
 
-    Repeated rows stay; other columns are ignored. Whole texts, special tokens' strings being ordinary text.
+    Repeated rows stay, with null ids as well; other columns are ignored. Whole texts of any length, special tokens' strings
+    being ordinary text. An empty table gives no rows.
     """
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("body"))
 
@@ -210,7 +223,10 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
 
 
 def decode(tokens: DataFrame, path: str, pattern: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
-    """One row for each list of ids: its id and ``data``, the decoded bytes (null: none)."""
+    """One row for each list of ids: its id and ``data``, the decoded bytes (null: none).
+
+    Repeated rows stay; other columns are ignored. An empty table gives no rows. An id that the vocabulary lacks is an error.
+    """
     rows = tokens.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
 
     def run(batches):

@@ -66,6 +66,16 @@ def radius(similarity: float, bits: int, sigmas: float = 3.0) -> int:
     return math.ceil(bits * p + sigmas * math.sqrt(bits * p * (1 - p)))
 
 
+#: Texts of fewer distinct shingles are compared within a wider radius, as the angle formula is one for many.
+FEW = 24
+
+
+def radii(similarity: float, level: int) -> tuple[int, int]:
+    """Of the first word and of all words, for texts of a size class and the one below it."""
+    sigmas = 3.0 if (1 / similarity) ** (level + 1) > FEW else 7.0
+    return radius(similarity, 64, sigmas), radius(similarity, 64 * WORDS64, sigmas)
+
+
 def hits(x: np.ndarray, y: np.ndarray, same: bool, first: int, whole: int, block: int = 1024, most: int = 1 << 21, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(i, j, distance) of pairs within ``whole`` bits whose first words are within ``first``; ``same``: y is x.
 
@@ -224,9 +234,9 @@ def cells(texts: DataFrame, similarity: float, each, schema: str, extra: tuple[s
 
 def candidates(texts: DataFrame, similarity: float, **tiles) -> DataFrame:
     """Columns a, b, cut: links to prove, from a written table of signatures; where cut, a is a text that had a link left out (and b the same)."""
-    first, whole = radius(similarity, 64), radius(similarity, 64 * WORDS64)
 
     def each(at: tuple[int, ...], keys: list[bytes], sig: np.ndarray, split: int):
+        first, whole = radii(similarity, max(at[0], at[2]))
         same, out = split == len(keys), np.zeros(len(keys), dtype=bool)
         i, j, d = hits(sig[:split], sig if same else sig[split:], same, first, whole, cut=out)
         j = j if same else j + split
@@ -248,9 +258,9 @@ PLACE = ["la", "ta", "lb", "tb", "x", "y"]
 
 def untested(texts: DataFrame, similarity: float) -> DataFrame:
     """PLACE, side and key: blocks of the texts (key, group, size, sig) that have a pair within the radius of two groups."""
-    whole = radius(similarity, 64 * WORDS64)
 
     def each(at: tuple[int, ...], keys: list[bytes], groups: list[bytes], sig: np.ndarray, split: int):
+        whole = radii(similarity, max(at[0], at[2]))[1]
         count = np.bitwise_count(sig).sum(1, dtype=np.int64)
         group = np.unique(np.array([g.hex() for g in groups]), return_inverse=True)[1]
         same, size = split == len(keys), (1 / similarity) ** (max(at[0], at[2]) + 1)
@@ -373,8 +383,9 @@ def classes(docs: DataFrame, text_col: str = "text", words: int = 5, similarity:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` less all but one of each group: that with the smallest id (nulls last).
 
-    Equal texts are one group; texts without words are one group as well. Of rows equal in every column one stays. An empty
-    table gives no rows, extra columns pass through whatever their names.
+    Equal texts are one group; texts without words (null, empty, blank) are one group as well. Of rows with one id and different
+    columns the first by a hash of all columns stays, of rows equal in every column one. Texts of any length count whole. An
+    empty table gives no rows, extra columns pass through whatever their names.
     """
     mark, key = F.xxhash64(*docs.columns), text_key(F.coalesce(F.col(text_col), F.lit("")))
     rows = written(docs.select(F.col(id_col).alias("doc"), mark.alias("mark"), key.alias("key")).groupBy("doc", "mark", "key").agg(F.count("*").alias("n")), "similar-rows")

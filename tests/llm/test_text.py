@@ -281,6 +281,18 @@ def test_perfect_hash(oracle):
     assert own.encode("a" * 50_000 + "ab" * 500) == oracle.encode_ordinary("a" * 50_000 + "ab" * 500)
 
 
+@pytest.mark.parametrize("pattern", [r"\p{L}+ \p{L}+|\s*\S+|\s+", PATTERN.replace(r" ?\p{N}", r" ?\d")])
+@pytest.mark.parametrize("text", ["two words and one more 12", " a  b c", "x"])
+def test_bpe_with_other_patterns(pattern, text):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    plain = tiktoken.Encoding("other", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    assert bpe.codec(RANKS, pattern).encode(text) == plain.encode_ordinary(text)
+
+
+def test_bpe_pattern_is_plain():
+    assert bpe.codec(RANKS, PATTERN).cuts
+
+
 def test_bpe_query(spark, data, rows, oracle):
     got = {r.doc_id: r for r in queries()["op6_bpe"](spark, data).collect()}
     for r in rows:
@@ -696,6 +708,61 @@ def test_similar_hub_and_templates(spark):
     assert sorted(x.doc_id for x in similar.keep_one(docs).collect()) == want
 
 
+def groups_left(texts):
+    """The smallest index of each group, by brute force over an inverted list of shingles; and the number of links."""
+    sets = [similar.shingles(t.encode(), 5) for t in texts]
+    size, label, links = np.array([len(x) for x in sets]), np.arange(len(texts)), 0
+    value = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(texts)), size)
+    by = np.argsort(value, kind="stable")
+    value, owner = value[by], owner[by]
+    for i, h in enumerate(sets):
+        low, high = np.searchsorted(value, h), np.searchsorted(value, h, side="right")
+        both = np.bincount(np.concatenate([owner[a:b] for a, b in zip(low, high, strict=True)]), minlength=len(texts))
+        good = np.flatnonzero(both >= 0.8 * (len(h) + size - both))
+        links += len(good) - 1
+        for k in set(label[good].tolist()) - {label[i]}:
+            a, b = sorted((int(k), int(label[i])))
+            label[label == b] = a
+    return sorted(set(label.tolist())), links // 2
+
+
+def test_similar_pair_within_a_family(spark):
+    """Sixty families: texts that share a core at 0.77 of each other, and one pair above 0.8 in each. All sixty pairs are found."""
+    r, texts = random.Random(11), []
+    for f in range(60):
+        core = [f"f{f}c{k}" for k in range(180)]
+        own = lambda n: [f"x{r.randrange(10**9)}" for _ in range(n)]  # noqa: B023, E731
+        family = [core + own(25) for _ in range(30)]
+        family.append(family[0][:-21] + own(21))
+        texts += [" ".join(w) for w in family]
+    want, links = groups_left(texts)
+    assert links == 60 and len(want) == len(texts) - 60
+    got = similar.keep_one(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
+    assert sorted(x.doc_id for x in got.collect()) == want
+
+
+def test_similar_dense_clusters(spark):
+    """Five thousand texts in clusters of 0.75 to 0.85, and short ones; a miss in a thousand links is allowed, as at exactly 0.8."""
+    r, texts = random.Random(12), []
+    for c in range(40):
+        base, n = [f"c{c}w{k}" for k in range(r.choice([40, 120, 300]))], r.choice([20, 100, 220])
+        for _ in range(n):
+            w = base[:]
+            for k in r.sample(range(len(w)), max(1, round(len(w) * r.choice([0.012, 0.016, 0.02, 0.024])))):
+                w[k] = f"e{r.randrange(10**9)}"
+            texts.append(" ".join(w))
+    for c in range(300):
+        w = [f"s{c}w{k}" for k in range(r.randint(8, 14))]
+        texts += [" ".join(w), " ".join([*w, "more"]), " ".join(["first", *w])]
+    while len(texts) < 5000:
+        texts.append(" ".join(f"u{r.randrange(10**6)}" for _ in range(30)))
+    r.shuffle(texts)
+    want, links = groups_left(texts)
+    got = sorted(x.doc_id for x in similar.keep_one(spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")).collect())
+    assert links > 5000 and set(want) <= set(got) and len(got) - len(want) <= 0.001 * links
+
+
 def test_similar_odd_rows(spark):
     docs = with_clashes(odd_docs(spark))
     got = similar.keep_one(docs)
