@@ -2,7 +2,8 @@
 
 Rows get global row numbers in the order of a hash of id and text: a count for each of a fixed number of
 hash buckets gives each bucket's first number, a window within the bucket the rest, so no sort has a
-global range and no task more than a bucket. A keyed Feistel network over Z_a x Z_a, a = ceil(sqrt(n)),
+global range and no task more than a bucket; rows equal in id and text are counted first, and are one row of the
+window. A keyed Feistel network over Z_a x Z_a, a = ceil(sqrt(n)),
 permutes the numbers; those that leave [0, n) walk on along their cycle until they return. The permuted
 number p gives shard p mod k and slot p div k, which :func:`locate` computes for any row number and
 :func:`row_at` inverts, without a look at the data.
@@ -20,6 +21,8 @@ PRIME = 2**31 - 1
 ROUNDS = 6
 #: Hash buckets, and so the most rows that a count sends to the driver.
 BUCKET_BITS = 12
+#: Equal rows that one task writes out at a time.
+PART = 1 << 20
 WALK = 64
 
 
@@ -119,8 +122,15 @@ def shard(docs: DataFrame, shards: int = 16, seed: int = 42, id_col: str = "doc_
         firsts.append(str(n))
         n += held.get(b, 0)
     first = F.expr(f"cast(split('{','.join(firsts)}', ',') as array<bigint>)")  # folded to one literal
-    order = Window.partitionBy("bucket").orderBy("hash", "doc_id", "size", "text_crc32")
-    numbered = rows.withColumn("row_number", F.get(first, F.col("bucket")) + F.row_number().over(order) - 1)
+    same = ["bucket", "hash", "doc_id", "size", "text_crc32"]
+    before = Window.partitionBy("bucket").orderBy(*same[1:]).rowsBetween(Window.unboundedPreceding, -1)
+    kinds = rows.groupBy(*same).agg(F.count("*").alias("n"))
+    kinds = kinds.withColumn("start", F.get(first, F.col("bucket")) + F.coalesce(F.sum("n").over(before), F.lit(0)))
+    # rows repeated very often are dealt in parts, the others written out where they are
+    parts = kinds.filter(F.col("n") > PART).select("*", F.explode(F.expr(f"sequence(start, start + n - 1, {PART}L)")).alias("at"))
+    parts = parts.withColumn("n", F.least(F.col("start") + F.col("n") - F.col("at"), F.lit(PART))).withColumn("start", F.col("at")).repartition("hash", "start")
+    numbered = kinds.filter(F.col("n") <= PART).union(parts.select(*kinds.columns))
+    numbered = numbered.withColumn("row_number", F.explode(F.expr("sequence(start, start + n - 1)")))
     placed = numbered.withColumn("p", permuted("row_number", n, seed))
     return placed.select(
         "doc_id",
