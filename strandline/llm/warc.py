@@ -390,8 +390,10 @@ def archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str =
     rows = pages.select(F.col(id_col).alias("id"), F.col(url_col).alias("target_uri"), F.coalesce(F.col(html_col), F.lit("")).cast("binary").alias("payload")).withColumn("payload_digest", F.sha2("payload", 256))
     large = rows.filter(F.octet_length("payload") >= least)
     again = large.groupBy("payload_digest").agg(F.min("id").alias("first"), F.count("*").alias("n")).filter("n > 1 and first is not null").drop("n")
-    # a written table has a known size: a small one is broadcast, pages move only for a large one
-    met = rows.join(written(again, "warc-copies"), "payload_digest", "left")
+    # a written table has a known size: a small one is broadcast, pages move only for a large one; small pages are dealt by id
+    deal = F.when(F.octet_length("payload") < least, F.xxhash64("id", "target_uri")).otherwise(F.lit(0).cast("long"))
+    copies = written(again.withColumn("deal", F.lit(0).cast("long")), "warc-copies")
+    met = rows.withColumn("deal", deal).join(copies, ["payload_digest", "deal"], "left")
     revisits = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     name = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit(">"))
     met.select(
