@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import drop_path, fresh_path, slices, table, written
+from strandline.llm.common import drop_path, fresh_path, met, slices, table, written
 
 SEED = 42
 #: Shingles whose bits are counted at a time.
@@ -170,17 +170,18 @@ def tile_pairs(fps: DataFrame, radius: int = 3, blocks: int = 5, cell: int = CEL
 def contract(edges: DataFrame) -> DataFrame:
     """Columns node, root: each end of a link (of any one type) and its component's smallest end.
 
-    Large stars, then small stars, until nothing changes; every round is a written table, and the one before it goes.
+    Large stars, then small stars, until nothing changes; every round is a written table, and the one before it goes. The
+    centres of the largest stars are joined by broadcast.
     """
     spark = edges.sparkSession
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def star(e: DataFrame, large: bool, total: int) -> DataFrame:
         both = e.union(e.select(F.col("b"), F.col("a"))) if large else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
-        met = both.join(low, "a")
+        low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count("*").alias("n"))
+        each = met(both, low, ["a"], total)
         if large:
-            return met.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        return met.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
+            return each.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        return each.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
 
     def state(e: DataFrame):
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
@@ -193,21 +194,21 @@ def contract(edges: DataFrame) -> DataFrame:
     was = None
     while (is_now := state(now)) != was:
         was, old = is_now, path
-        now, path = put(star(star(now, True), False))
+        now, path = put(star(star(now, True, 2 * was[0]), False, 2 * was[0]))  # either star has two rows for an edge at most
         drop_path(spark, old)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def components(rows: DataFrame, id_col: str = "doc_id", radius: int = 3, blocks: int = 5) -> DataFrame:
-    """Columns fp, component_id for each distinct fp of a written table: the smallest id that links reach.
+    """Columns fp, n, component_id for each distinct fp of a written table: how many rows have it, and the smallest id that links reach.
 
     Null ids count only where a component has no other; its component_id is then null.
     """
-    firsts = written(rows.groupBy("fp").agg(F.min(id_col).alias("first_id")), "simhash-firsts")
+    firsts = written(rows.groupBy("fp").agg(F.min(id_col).alias("first_id"), F.count("*").alias("rows")), "simhash-firsts")
     member = contract(links(firsts.select("fp"), radius, blocks))
-    rooted = firsts.join(member.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", F.coalesce("root", "fp").alias("root"))
-    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return written(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "simhash-classes")
+    rooted = written(firsts.join(member.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "first_id", "rows", F.coalesce("root", "fp").alias("root")), "simhash-rooted")
+    least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"), F.count("*").alias("n"))
+    return written(met(rooted.select("fp", "rows", "root"), least, ["root"], rooted.count()).select("fp", F.col("rows").alias("n"), "component_id"), "simhash-classes")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, radius: int = 3) -> DataFrame:
@@ -218,7 +219,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     take part; other columns are ignored. An empty table gives no rows.
     """
     rows = written(fingerprints(docs, text_col, {id_col: F.col(id_col)}, words), "simhash-rows")
-    return rows.join(components(rows, id_col, radius), "fp").select(id_col, "fp", "component_id")
+    return met(rows, components(rows, id_col, radius), ["fp"], rows.count()).select(id_col, "fp", "component_id")
 
 
 def op9_simhash(spark, sf_dir: str) -> DataFrame:

@@ -20,10 +20,10 @@ import math
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandline.llm.common import slices, written
+from strandline.llm.common import met, slices, written
 from strandline.llm.simhash import CHUNK, SEED, contract
 
 WORDS64 = 4
@@ -391,18 +391,19 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     rows = written(docs.select(F.col(id_col).alias("doc"), mark.alias("mark"), key.alias("key")).groupBy("doc", "mark", "key").agg(F.count("*").alias("n")), "similar-rows")
     member = classes(docs, text_col, words, similarity).select(F.col("node").alias("key"), "root")
     # combined by text before the join, so that a text with very many copies is one row of it
-    each = rows.groupBy("key").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "mark")).alias("kept"), F.sum("n").alias("n"))
-    grouped = written(each.join(member, "key", "left").select("key", "kept", "n", F.coalesce("root", "key").alias("group")), "similar-groups")
-    best = grouped.groupBy("group").agg(F.min("kept").alias("kept"), F.sum("n").alias("n")).filter("n > 1")
-    several = written(grouped.select("key", "group").join(best, "group").select("key", F.col("kept.doc").alias("kept_doc"), F.col("kept.mark").alias("kept_mark")), "similar-several")
-    met = rows.join(several, "key")
+    each = rows.groupBy("key").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "mark")).alias("kept"), F.sum("n").alias("copies"), F.count("*").alias("rows"))
+    grouped = written(each.join(member, "key", "left").select("key", "kept", "copies", "rows", F.coalesce("root", "key").alias("group")), "similar-groups")
+    best = grouped.groupBy("group").agg(F.min("kept").alias("kept"), F.sum("copies").alias("copies"), F.count("*").alias("n")).filter("copies > 1").drop("copies")
+    several = met(grouped.select("key", "rows", "group"), best, ["group"], grouped.count())
+    several = written(several.select("key", F.col("rows").alias("n"), F.col("kept.doc").alias("kept_doc"), F.col("kept.mark").alias("kept_mark")), "similar-several")
+    those = met(rows.withColumnRenamed("n", "copies"), several, ["key"], rows.count())
     best_row = F.col("doc").eqNullSafe(F.col("kept_doc")) & (F.col("mark") == F.col("kept_mark"))
-    gone = written(met.select("doc", "mark", "n", best_row.alias("best")).filter("not best or n > 1"), "similar-gone")
+    gone = written(those.select("doc", "mark", best_row.alias("best"), "copies").filter("not best or copies > 1"), "similar-gone")
     # rows that are surely kept stay where they are; the others move by their id and mark
     names = [f"c{i}" for i in range(len(docs.columns))]
     own = docs.select("*", mark.alias("row mark")).toDF(*names, "mark").withColumn("doc", F.col(names[docs.columns.index(id_col)]))
     split = flagged(own, ["doc", "mark"], gone)
-    moved = split.filter("flagged").alias("o").join(gone.filter("not best").alias("g"), (F.col("o.mark") == F.col("g.mark")) & F.col("o.doc").eqNullSafe(F.col("g.doc")), "left_anti")
-    first = Window.partitionBy("mark", "doc").orderBy("mark")
-    once = moved.withColumn("copy", F.row_number().over(first)).filter("copy = 1")
+    # equal rows are one before they move
+    once = split.filter("flagged").groupBy("mark", "doc").agg(F.first(F.struct(*names)).alias("row")).alias("o")
+    once = once.join(gone.filter("not best").alias("g"), (F.col("o.mark") == F.col("g.mark")) & F.col("o.doc").eqNullSafe(F.col("g.doc")), "left_anti").select("row.*")
     return split.filter("not flagged").select(*names).union(once.select(*names)).toDF(*docs.columns)
