@@ -170,15 +170,14 @@ def tile_pairs(fps: DataFrame, radius: int = 3, blocks: int = 5, cell: int = CEL
 def contract(edges: DataFrame) -> DataFrame:
     """Columns node, root: each end of a link (of any one type) and its component's smallest end.
 
-    Large stars, then small stars, until nothing changes; every round is a written table, and the one before it goes. The
-    centres of the largest stars are joined by broadcast.
+    Large stars, then small stars, until nothing changes; every round is a written table, and the one before it goes.
     """
     spark = edges.sparkSession
 
-    def star(e: DataFrame, large: bool, total: int) -> DataFrame:
+    def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.union(e.select(F.col("b"), F.col("a"))) if large else e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"), F.count("*").alias("n"))
-        each = met(both, low, ["a"], total)
+        low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        each = both.join(low, "a")
         if large:
             return each.filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         return each.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b"))).filter("a <> b").distinct()
@@ -194,7 +193,7 @@ def contract(edges: DataFrame) -> DataFrame:
     was = None
     while (is_now := state(now)) != was:
         was, old = is_now, path
-        now, path = put(star(star(now, True, 2 * was[0]), False, 2 * was[0]))  # either star has two rows for an edge at most
+        now, path = put(star(star(now, True), False))
         drop_path(spark, old)
     return now.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
