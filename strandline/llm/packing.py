@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import functools
 import os
+import string
 import struct
 import zlib
 from heapq import heappop, heappush
@@ -35,9 +36,11 @@ PER_TASK = 100_000
 
 #: Fixed by the byte-level pre-tokenizer: what it splits a text into.
 PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: White space of ASCII but the blank.
+#: White space but the blank, of ASCII and beyond.
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f"
-BESIDE = [p for c in SPACES for p in (f" {c}", f"{c} ")]
+MORE_SPACES = "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+#: Punctuation of ASCII: neither letters nor numbers nor white space.
+MARKS = string.punctuation
 
 
 class Tokenizer:
@@ -65,6 +68,7 @@ class Tokenizer:
         ids = self.own.get_vocab(with_added_tokens=True)
         self.blank = np.zeros(max(ids.values()) + 1, dtype=bool)
         self.blank[[i for t, i in ids.items() if t[:1] == "\u0120"]] = True  # how such vocabularies write a blank
+        self.line = ids.get("\u010a")  # the end of a line
         self.memo: dict[str, bytes] = {}  # by word: ids of a blank and the word
         self.aged: dict[str, bytes] = {}
         self.bare: dict[str, bytes] = {}  # by pre-token without a blank before it
@@ -87,33 +91,54 @@ class Tokenizer:
         out.update(zip(rest, self._encode([" " + w for w in rest]), strict=True))
         return out
 
-    def _learn(self, words: set[str]) -> dict[str, bytes]:
-        """Ids of a blank and each word."""
-        out, cut, plain, odd, bare = {}, [], set(), [], set()
-        for w in words:
-            if (ids := self.aged.get(w)) is not None:
-                out[w] = ids
-            elif w.isalpha():
-                plain.add(w)
-            elif any(t in w for t in self.added):
-                odd.append(w)
-            else:
-                first, *more = PRE_TOKEN.findall(" " + w)
-                cut.append((w, first[1:], more))
-                bare.update(more)
-        known = self.memo.get
-        heads = {h for _, h, _ in cut}
-        found = {h: ids for h in heads if (ids := known(h) or self.aged.get(h)) is not None}
-        plain.update(heads.difference(found))
+    def _encode_bare(self, new: list[str], together: int = 1000) -> dict[str, bytes]:
+        """Ids of each pre-token without a blank; those of letters many at a time, a line each, as a line's end is a token of its own."""
+        letters, rest, out = [], [], {}
+        for t in new:
+            (letters if t.isalpha() and self.line is not None else rest).append(t)
+        parts = [letters[k : k + together] for k in range(0, len(letters), together)]
+        for part, data in zip(parts, self._encode(["\n".join(p) for p in parts]), strict=True):
+            ends = np.flatnonzero(np.frombuffer(data, dtype="<u4") == self.line)
+            if len(ends) != len(part) - 1:
+                rest += part
+                continue
+            edges = (4 * ends).tolist()
+            out.update(zip(part, [data[a:b] for a, b in zip([0, *(e + 4 for e in edges)], [*edges, len(data)], strict=True)], strict=True))
+        out.update(zip(rest, self._encode(rest), strict=True))
+        return out
+
+    def _learn(self, words: set[str], odd: list[str]) -> dict[str, bytes]:
+        """Ids of a blank and each word; ``odd``: added tokens that may be in some."""
+        known, aged, own = self.memo.get, self.aged, self.bare
+        out = {w: aged[w] for w in aged.keys() & words}
+        plain = set(filter(str.isalpha, words.difference(out)))
+        others = list(words.difference(out, plain))
+        whole = [w for w in others if any(t in w for t in odd)] if odd else []
+        if whole:
+            others = list(set(others).difference(whole))
+        stems = [w.rstrip(MARKS) for w in others]
+        ends = [w[len(s) :] if s.isalpha() else None for w, s in zip(others, stems, strict=True)]  # of letters and marks
+        cut = [PRE_TOKEN.findall(" " + w) for w, end in zip(others, ends, strict=True) if end is None]
+        heads, bare = {s for s, end in zip(stems, ends, strict=True) if end is not None}, set(filter(None, ends))
+        heads.update([first[1:] for first, *_ in cut])
+        for _, *more in cut:
+            bare.update(more)
+        found = {h: ids for h in heads if (ids := known(h) or aged.get(h)) is not None}
+        plain |= heads.difference(found)
         fresh = self._encode_tokens(list(plain))
         out.update(fresh)
         found.update(fresh)
-        unknown = [t for t in bare if t not in self.bare]
-        loose = dict(zip(unknown, self._encode(unknown), strict=True))
-        for w, h, more in cut:
-            out[w] = found[h] + b"".join([self.bare.get(t) or loose[t] for t in more])
-        out.update(zip(odd, self._encode([" " + w for w in odd]), strict=True))
-        if len(self.bare) + len(loose) > self.limit // 4:
+        loose = self._encode_bare([t for t in bare if t not in own])
+        tail = {t: own.get(t) or loose[t] for t in bare}
+        tail_of, rest = tail.__getitem__, iter(cut)
+        for w, s, end in zip(others, stems, ends, strict=True):
+            if end is not None:
+                out[w] = found[s] + tail[end]
+            else:
+                first, *more = next(rest)
+                out[w] = found[first[1:]] + b"".join(map(tail_of, more))
+        out.update(zip(whole, self._encode([" " + w for w in whole]), strict=True))
+        if len(own) + len(loose) > self.limit // 4:
             self.bare = {}
         self.bare.update((t, x) for t, x in loose.items() if len(t) <= 64)
         return out
@@ -123,34 +148,39 @@ class Tokenizer:
         """The first stretch and the words after each blank; None where a blank is beside other white space or at an end."""
         if "  " in text or text[0] == " " or text[-1] == " ":
             return None
-        if text.isascii():
-            if any(c in text for c in SPACES) and any(p in text for p in BESIDE):
+        for c in SPACES if text.isascii() else SPACES + MORE_SPACES:
+            if c in text and (f" {c}" in text or f"{c} " in text):
                 return None
-        else:
-            for c in filter(str.isspace, set(text) - {" "}):
-                if f" {c}" in text or f"{c} " in text:
-                    return None
         return text.split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cuts = [self.cut(t) if t and self.cuts else None for t in texts]
         alone = [k for k, c in enumerate(cuts) if c is None]
         done = dict(zip(alone, self._encode([texts[k] for k in alone]), strict=True))
-        done |= zip((heads := [k for k, c in enumerate(cuts) if c]), self._encode([cuts[k][0] for k in heads]), strict=True)
-        get, missing, parts = self.memo.get, set(), {}
+        heads = [k for k, c in enumerate(cuts) if c]
+        firsts = self._encode_bare(list({cuts[k][0] for k in heads}))
+        get, missing, open_ = self.memo.get, set(), []
         for k in heads:
-            words = cuts[k][1:]
-            parts[k] = ids = list(map(get, words))
-            if None in ids:
-                missing.update([w for w, x in zip(words, ids, strict=True) if x is None])
-        own = self._learn(missing) if missing else {}
-        for k, ids in parts.items():
-            if None in ids:
-                ids = [x or own[w] for x, w in zip(ids, cuts[k][1:], strict=True)]
-            done[k] += b"".join(ids)
+            words = cuts[k]
+            ids = list(map(get, words))
+            ids[0] = firsts[words[0]]
+            if gaps := [n for n, x in enumerate(ids) if x is None]:
+                new = [words[n] for n in gaps]
+                missing.update(new)
+                open_.append((k, ids, gaps, new))
+            else:
+                done[k] = b"".join(ids)
+            cuts[k] = None
+        own = self._learn(missing, [t for t in self.added if any(t in x for x in texts)]) if missing else {}
+        for k, ids, gaps, new in open_:
+            for n, w in zip(gaps, new, strict=True):
+                ids[n] = own[w]
+            done[k] = b"".join(ids)
         if len(self.memo) + len(own) > self.limit:
             self.memo, self.aged = {}, self.memo
-        self.memo.update((w, x) for w, x in own.items() if len(w) <= 64)  # longer ones aren't worth keeping
+        for w in [w for w in own if len(w) > 64]:  # not worth keeping
+            del own[w]
+        self.memo.update(own)
         return [done[k] for k in range(len(texts))]
 
 

@@ -5,9 +5,11 @@ import hashlib
 import itertools
 import random
 import re
+import sys
 import time
 import zlib
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -58,6 +60,22 @@ def test_tokenizer_by_hand(plain_tokenizer, text):
         assert np.frombuffer(own.encode([text])[0], "<u4").tolist() == plain_tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_letters_and_marks_need_no_pattern(plain_tokenizer, monkeypatch):
+    """Words cost the most: those of letters and marks are cut without the pattern, and texts' first words aren't encoded one by one."""
+    own, matched, sent = packing.Tokenizer(JSON), [], []
+    found, encode = packing.PRE_TOKEN.findall, own._encode
+    monkeypatch.setattr(packing, "PRE_TOKEN", SimpleNamespace(findall=lambda w: matched.append(w) or found(w)))
+    monkeypatch.setattr(own, "_encode", lambda texts: sent.extend(texts) or encode(texts))
+    names = ["".join(p) for p in itertools.product("abêñ", "eiß", "thr", "oü")]
+    texts = [f"{a.title()} wh{a}, of{a}?! on{a}'... th{a}" for a in names]
+    assert [np.frombuffer(p, "<u4").tolist() for p in own.encode(texts)] == [plain_tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not matched and len(sent) < 20
+
+
+def test_white_space_is_complete():
+    assert set(packing.SPACES + packing.MORE_SPACES) == {c for c in map(chr, range(sys.maxunicode + 1)) if c.isspace()} - {" "}
+
+
 def check_packed(got, texts, tokenizer, capacity=2048):
     pieces, sequences = defaultdict(list), defaultdict(list)
     for r in got:
